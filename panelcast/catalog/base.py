@@ -41,6 +41,11 @@ def _digits(kind: str) -> int:
     return int(kind[1:] or 6)
 
 
+def _nudge(digits: int) -> float:
+    """A shift far below the last digit: exact halves then round the same way on both sides."""
+    return 0.037 * 10.0**-digits
+
+
 def _shape(name: str, kind: str):
     c = F.col(name)
     if kind == "s":
@@ -51,8 +56,9 @@ def _shape(name: str, kind: str):
         return c.cast("timestamp").cast("timestamp_ntz").alias(name)
     if kind == "date":
         return c.cast("date").cast("string").alias(name)
+    digits = _digits(kind)
     # adding zero turns a rounded -0.0 into 0.0
-    return (F.round(c.cast("double"), _digits(kind)) + F.lit(0.0)).alias(name)
+    return (F.round(c.cast("double") + F.lit(_nudge(digits)), digits) + F.lit(0.0)).alias(name)
 
 
 def _shape_sql(name: str, kind: str) -> str:
@@ -66,7 +72,9 @@ def _shape_sql(name: str, kind: str) -> str:
     elif kind == "date":
         value = f"CAST(CAST({quoted} AS DATE) AS VARCHAR)"
     else:
-        value = f"round(CAST({quoted} AS DOUBLE), {_digits(kind)}) + CAST(0 AS DOUBLE)"
+        digits = _digits(kind)
+        nudge = f"CAST({_nudge(digits)!r} AS DOUBLE)"
+        value = f"round(CAST({quoted} AS DOUBLE) + {nudge}, {digits}) + CAST(0 AS DOUBLE)"
     return f"{value} AS {quoted}"
 
 

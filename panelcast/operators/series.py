@@ -183,7 +183,7 @@ def attach_by_zone(targets: DataFrame, features: DataFrame, key="zone") -> DataF
 
 def interval_bits(interval: str) -> Column:
     """Set of interval numbers as a bit mask, a fixed-size state that also works on streams."""
-    return F.bit_or(F.shiftleft(F.lit(1), F.col(interval).cast("int")))
+    return F.bit_or(F.call_function("shiftleft", F.lit(1), F.col(interval).cast("int")))
 
 
 def rollup_complete_hours(
