@@ -86,14 +86,18 @@ CLIMATE_FIELDS = ["UTC_DATE", "TEMP", "DEW_POINT_TEMP", "RELATIVE_HUMIDITY", "WI
 
 
 def read_geojson_features(
-    spark: SparkSession, paths: str | list[str], fields: Iterable[str] = CLIMATE_FIELDS, zone: str | None = None
+    spark: SparkSession, paths: str | list[str], fields: Iterable[str] = CLIMATE_FIELDS, zone: str | None = None,
+    multiline: bool = True,
 ) -> DataFrame:
-    """Rows of ``features[].properties`` of all pages, numbers coerced, zone added when given."""
+    """Rows of ``features[].properties`` of all pages, numbers coerced, zone added when given.
+
+    ``multiline=False`` reads one page per line, so large files are split between tasks.
+    """
     fields = list(fields)
     properties = T.StructType([T.StructField(f, T.StringType()) for f in fields])
     feature = T.StructType([T.StructField("properties", properties)])
     schema = T.StructType([T.StructField("features", T.ArrayType(feature))])
-    pages = spark.read.schema(schema).json(paths, multiLine=True)
+    pages = spark.read.schema(schema).json(paths, multiLine=multiline)
     rows = pages.select(F.explode("features").alias("f")).select("f.properties.*")
     typed = {f: F.col(f).try_cast("double") for f in fields if not f.endswith("DATE")}
     typed |= {f: F.col(f).try_cast("timestamp") for f in fields if f.endswith("DATE")}
@@ -114,6 +118,7 @@ def read_columnar_json(
     parent: str = "hourly",
     time: str = "time",
     extra: str | None = None,
+    multiline: bool = True,
 ) -> DataFrame:
     """Parallel arrays to rows; a variable the payload lacks is null in every row.
 
@@ -122,7 +127,7 @@ def read_columnar_json(
     variables = list(variables)
     arrays = ", ".join(f"`{v}`: array<string>" for v in [time, *variables])
     ddl = f"`{parent}` struct<{arrays}>" + (f", {extra}" if extra else "")
-    pages = spark.read.schema(ddl).json(paths, multiLine=True)
+    pages = spark.read.schema(ddl).json(paths, multiLine=multiline)
     carried = [c for c in pages.columns if c != parent]
     present = F.transform(
         F.sequence(F.lit(0), F.size(F.col(f"{parent}.{time}")) - 1),
