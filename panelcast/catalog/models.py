@@ -1 +1,211 @@
-"""Checks."""
+"""Checks of models, scoring and backtests. One-input linear models have an exact SQL form."""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+from pyspark.sql import functions as F
+
+from panelcast.catalog.base import P_DAY, P_FORECAST, P_HOUR, check, with_sql
+from panelcast.catalog.tables import scratch
+from panelcast.functions.scalars import horizon_features
+from panelcast.functions.timecols import cyclic
+from panelcast.operators import modelling as ml
+from panelcast.operators import splits as sp
+from panelcast.operators.windows import lag_exact
+from panelcast.plans import panels as pn
+from panelcast.plans.selection import score_features
+
+Y, P = "target_demand_mw", "prediction_mw"
+CUT = datetime(2024, 1, 20)
+CUT_SQL = "TIMESTAMP '2024-01-20'"
+
+
+def _naive(t):
+    """Forecast rows whose naive prediction serves as the only model input."""
+    rows = pn.forecast_panel(t.events).dropna(subset=[P, Y])
+    return rows.withColumnRenamed(P, "lag_24_mw")
+
+
+@check(
+    "linear_forecast",
+    "zone s, issue_datetime t, forecast_horizon_hours i, prediction_mw d",
+    with_sql(
+        P_FORECAST,
+        f""", fit AS (SELECT regr_slope({Y}, {P}) AS b, regr_intercept({Y}, {P}) AS a FROM p_forecast
+                     WHERE {P} IS NOT NULL AND target_datetime < {CUT_SQL})
+           SELECT zone, issue_datetime, forecast_horizon_hours, a + b * {P} AS prediction_mw FROM p_forecast, fit
+           WHERE {P} IS NOT NULL AND target_datetime >= {CUT_SQL}""",
+    ),
+)
+def _(t):
+    rows = _naive(t)
+    model = ml.fit_point(rows.filter(F.col("target_datetime") < F.lit(CUT)), ["lag_24_mw"], Y, "linear", regParam=0.0)
+    return ml.predict(model, rows.filter(F.col("target_datetime") >= F.lit(CUT)))
+
+
+def _wide_rows(t):
+    rows = _naive(t).withColumns(horizon_features())
+    return rows.withColumns(cyclic(F.hour("target_datetime"), 24, "target_hour"))
+
+
+INPUTS = ["zone", "lag_24_mw", "lag_168_mw", "target_hour_sin", "target_hour_cos", "forecast_horizon_sqrt"]
+
+
+def _trees(t):
+    rows = _wide_rows(t)
+    typed = ml.prepare_types(rows, INPUTS, Y)
+    past = typed.filter(F.col("target_datetime") < F.lit(CUT))
+    return ml.fit_point(past, INPUTS, Y, "gbt", maxIter=4, maxDepth=3), typed
+
+
+@check("boosted_forecast", "zone s, issue_datetime t, forecast_horizon_hours i, prediction_mw d")
+def _(t):
+    model, rows = _trees(t)
+    return ml.predict(model, rows.filter(F.col("target_datetime") >= F.lit(CUT)))
+
+
+@check("feature_importance", "feature s, gain d, gain_pct d, cumulative_gain_pct d")
+def _(t):
+    model, rows = _trees(t)
+    return ml.feature_importance(model, rows)
+
+
+@check("feature_scores", "feature s, correlation d, importance d, avg_rank d")
+def _(t):
+    return score_features(_wide_rows(t), ["lag_24_mw", "lag_168_mw", "target_hour_sin", "target_hour_cos"], y=Y)
+
+
+@check("model_reload", "rows i, max_difference d")
+def _(t):
+    rows = _naive(t)
+    model = ml.fit_point(rows, ["lag_24_mw"], Y, "linear")
+    return ml.check_reload(model, rows, scratch(t, "model"))
+
+
+@check(
+    "quantile_bands",
+    "zone s, issue_datetime t, forecast_horizon_hours i, p10_mw d, p50_mw d, p90_mw d",
+    with_sql(
+        P_FORECAST,
+        f""", r AS (SELECT zone, forecast_horizon_hours, {', '.join(
+            f"quantile_cont({Y} - {P}, CAST({q / 100} AS DOUBLE)) AS r{q}" for q in (10, 50, 90))}
+            FROM p_forecast WHERE {P} IS NOT NULL AND target_datetime < {CUT_SQL} GROUP BY 1, 2)
+           SELECT f.zone, issue_datetime, f.forecast_horizon_hours, {P} + r10 AS p10_mw, {P} + r50 AS p50_mw, {P} + r90 AS p90_mw
+           FROM p_forecast f LEFT JOIN r USING (zone, forecast_horizon_hours)
+           WHERE {P} IS NOT NULL AND target_datetime >= {CUT_SQL}""",
+    ),
+)
+def _(t):
+    rows = pn.forecast_panel(t.events).dropna(subset=[P])
+    before, after = (rows.filter(F.col("target_datetime") < F.lit(CUT)), rows.filter(F.col("target_datetime") >= F.lit(CUT)))
+    return ml.quantile_bands(before, after, Y, P)
+
+
+def _daily_pairs(t):
+    days = lag_exact(pn.daily_panel(t.orders), "zone", "date", "y", [7], stem="lag", step=24 * 3600)
+    pairs = days.filter(F.col("lag_7h").isNotNull()).withColumnRenamed("date", "issue_datetime")
+    return pairs.withColumn("target_datetime", F.timestamp_add("DAY", F.lit(1), F.col("issue_datetime")))
+
+
+@check(
+    "backtest",
+    "zone s, issue_datetime t, fold i, prediction_mw d2",
+    with_sql(
+        P_DAY,
+        """, pairs AS (SELECT a.zone, a.date AS issue, a.date + INTERVAL 1 DAY AS target, a.y, b.y AS x FROM p_day a
+                       JOIN p_day b ON b.zone = a.zone AND b.date = a.date - INTERVAL 7 DAY),
+           last AS (SELECT max(issue) AS m FROM pairs),
+           tagged AS (SELECT pairs.*, greatest(5 - CAST(ceil(date_diff('day', issue, m) / 30) AS INTEGER) + 1, 0) AS fold
+                      FROM pairs, last WHERE issue < m),
+           starts AS (SELECT fold, min(issue) AS s FROM tagged WHERE fold > 0 GROUP BY fold),
+           fits AS (SELECT s.fold, regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM starts s
+                    JOIN tagged r ON r.fold < s.fold AND r.target < s.s GROUP BY s.fold)
+           SELECT zone, issue AS issue_datetime, tagged.fold, a + b * x AS prediction_mw FROM tagged JOIN fits USING (fold)""",
+    ),
+)
+def _(t):
+    rows = _daily_pairs(t)
+    return ml.backtest(rows, lambda df: ml.fit_point(df, ["lag_7h"], "y", "linear", regParam=0.0))
+
+
+REF = datetime(2024, 1, 25, 8, 0)
+R = "TIMESTAMP '2024-01-25 08:00:00'"
+
+
+@check(
+    "score_direct",
+    "zone s, target_datetime t, forecast_horizon_hours i, predicted_demand_mw d",
+    with_sql(
+        P_HOUR,
+        f""", fit AS (SELECT regr_slope(demand_mw, wind_speed_kmh) AS b, regr_intercept(demand_mw, wind_speed_kmh) AS a
+                     FROM p_hour WHERE datetime <= {R}),
+           z AS (SELECT zone, avg(wind_speed_kmh) AS x FROM p_hour WHERE datetime <= {R} GROUP BY zone)
+           SELECT p.zone, p.datetime AS target_datetime, date_diff('hour', {R}, p.datetime) AS forecast_horizon_hours,
+                  a + b * x AS predicted_demand_mw FROM p_hour p JOIN z ON z.zone = p.zone, fit
+           WHERE date_diff('hour', {R}, p.datetime) BETWEEN 1 AND 168""",
+    ),
+)
+def _(t):
+    panel = pn.hourly_panel(t.events)
+    known = panel.filter(F.col("datetime") <= F.lit(REF))
+    model = ml.fit_point(known, ["wind_speed_kmh"], "demand_mw", "linear", regParam=0.0)
+    features = known.groupBy("zone").agg(F.avg("wind_speed_kmh").alias("wind_speed_kmh"))
+    targets = panel.select("zone", F.col("datetime").alias("target_datetime"))
+    return ml.score_direct(model, targets, features, REF)
+
+
+COEFFICIENTS = {"demand_lag_1h": 0.5, "demand_change_1h": 0.3, "demand_lag_24h": 0.2, "temperature": 1.5}
+
+
+@check(
+    "score_recursive",
+    "zone s, target_datetime t, predicted_demand_mw d",
+    f"""WITH RECURSIVE {P_HOUR}, hist AS (
+          SELECT zone, datetime, demand_mw AS y FROM p_hour WHERE datetime BETWEEN {R} - INTERVAL 388 HOUR AND {R}),
+        grid AS (SELECT zone, unnest(generate_series(min(datetime), {R}, INTERVAL 1 HOUR)) AS datetime FROM hist GROUP BY zone),
+        regular AS (SELECT g.zone, g.datetime, y, CASE WHEN y IS NOT NULL THEN g.datetime END AS known
+                    FROM grid g LEFT JOIN hist h ON h.zone = g.zone AND h.datetime = g.datetime),
+        edges AS (SELECT *, last_value(y IGNORE NULLS) OVER b AS py, last_value(known IGNORE NULLS) OVER b AS pt,
+                         first_value(y IGNORE NULLS) OVER a AS ny, first_value(known IGNORE NULLS) OVER a AS nt FROM regular
+                  WINDOW b AS (PARTITION BY zone ORDER BY datetime ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+                         a AS (PARTITION BY zone ORDER BY datetime ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+        s AS (SELECT zone, datetime, CASE WHEN y IS NOT NULL THEN y
+                WHEN py IS NOT NULL AND ny IS NOT NULL AND epoch(datetime) - epoch(pt) <= 7200
+                THEN py + (ny - py) * (epoch(datetime) - epoch(pt)) / (epoch(nt) - epoch(pt)) END AS v FROM edges),
+        zones AS (SELECT DISTINCT zone FROM hist),
+        hours AS (SELECT z.zone, n, {R} + to_hours(n) AS hr, {R} + to_hours(n - 25) AS day_before
+                  FROM zones z, (SELECT unnest(range(1, 25)) AS n)),
+        inputs AS (SELECT h.zone, n, hr, coalesce(s.v, 0) AS l24, coalesce(p.temperature_c, 0) AS tc, p.zone IS NOT NULL AS wanted
+                   FROM hours h LEFT JOIN s ON s.zone = h.zone AND s.datetime = day_before
+                   LEFT JOIN p_hour p ON p.zone = h.zone AND p.datetime = h.hr),
+        steps AS (
+          SELECT z.zone, CAST(0 AS BIGINT) AS n,
+                 (SELECT v FROM s WHERE s.zone = z.zone AND s.datetime = {R}) AS v1,
+                 (SELECT v FROM s WHERE s.zone = z.zone AND s.datetime = {R} - INTERVAL 1 HOUR) AS v2 FROM zones z
+          UNION ALL
+          SELECT i.zone, i.n,
+                 CASE WHEN wanted THEN 10 + CAST(0.5 AS DOUBLE) * coalesce(v2, 0) + CAST(0.3 AS DOUBLE) * coalesce(v1 - v2, 0)
+                   + CAST(0.2 AS DOUBLE) * l24 + CAST(1.5 AS DOUBLE) * tc END AS v1, v1 AS v2
+          FROM steps JOIN inputs i ON i.zone = steps.zone AND i.n = steps.n + 1)
+        SELECT steps.zone, {R} + to_hours(n) AS target_datetime, v1 AS predicted_demand_mw FROM steps
+        WHERE n > 0 AND v1 IS NOT NULL""",
+)
+def _(t):
+    panel = pn.hourly_panel(t.events)
+    targets = panel.select("zone", F.col("datetime").alias("target_datetime"), F.col("temperature_c").alias("temperature"))
+    return ml.score_recursive(COEFFICIENTS, 10.0, panel, targets, REF)
+
+
+@check(
+    "folds_by_row",
+    "zone s, date t, fold i",
+    with_sql(
+        P_DAY,
+        """, last AS (SELECT max(date) AS m FROM p_day)
+           SELECT zone, date, CASE WHEN date < m
+             THEN greatest(5 - CAST(ceil(date_diff('day', date, m) / 30) AS INTEGER) + 1, 0) END AS fold FROM p_day, last""",
+    ),
+)
+def _(t):
+    return sp.with_folds(pn.daily_panel(t.orders), issue="date")
