@@ -11,7 +11,6 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from panelcast.plans.panels import EVENT_ZONES, Tables
 
@@ -25,7 +24,7 @@ class Check:
 
     def frame(self, spark: SparkSession, folder: str) -> DataFrame:
         df = self.run(Tables(spark, folder))
-        return df.select(*[_shape(n, k) for n, k in self.columns]) if self.columns else df
+        return df.selectExpr(*[_shape(n, k) for n, k in self.columns]) if self.columns else df
 
     def oracle(self) -> str | None:
         if self.sql is None:
@@ -46,19 +45,21 @@ def _nudge(digits: int) -> float:
     return 0.037 * 10.0**-digits
 
 
-def _shape(name: str, kind: str):
-    c = F.col(name)
+def _shape(name: str, kind: str) -> str:
+    quoted = f"`{name}`"
     if kind == "s":
-        return c.cast("string").alias(name)
-    if kind == "i":
-        return c.cast("bigint").alias(name)
-    if kind == "t":
-        return c.cast("timestamp").cast("timestamp_ntz").alias(name)
-    if kind == "date":
-        return c.cast("date").cast("string").alias(name)
-    digits = _digits(kind)
-    # adding zero turns a rounded -0.0 into 0.0
-    return (F.round(c.cast("double") + F.lit(_nudge(digits)), digits) + F.lit(0.0)).alias(name)
+        value = f"CAST({quoted} AS STRING)"
+    elif kind == "i":
+        value = f"CAST({quoted} AS BIGINT)"
+    elif kind == "t":
+        value = f"CAST(CAST({quoted} AS TIMESTAMP) AS TIMESTAMP_NTZ)"
+    elif kind == "date":
+        value = f"CAST(CAST({quoted} AS DATE) AS STRING)"
+    else:
+        digits = _digits(kind)
+        # adding zero turns a rounded -0.0 into 0.0
+        value = f"round(CAST({quoted} AS DOUBLE) + {_nudge(digits):e}D, {digits}) + 0.0D"
+    return f"{value} AS {quoted}"
 
 
 def _shape_sql(name: str, kind: str) -> str:
@@ -73,7 +74,7 @@ def _shape_sql(name: str, kind: str) -> str:
         value = f"CAST(CAST({quoted} AS DATE) AS VARCHAR)"
     else:
         digits = _digits(kind)
-        nudge = f"CAST({_nudge(digits)!r} AS DOUBLE)"
+        nudge = f"CAST({_nudge(digits):e} AS DOUBLE)"
         value = f"round(CAST({quoted} AS DOUBLE) + {nudge}, {digits}) + CAST(0 AS DOUBLE)"
     return f"{value} AS {quoted}"
 

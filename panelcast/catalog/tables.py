@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from datetime import datetime
 
@@ -22,7 +21,7 @@ from panelcast.functions.timecols import hour_start
 from panelcast.operators import aggregate as ag
 from panelcast.operators import joins as jn
 from panelcast.plans import panels as pn
-from panelcast.session import checkpoint_dir
+from panelcast.session import shared_folder
 from panelcast.sources import readers as rd
 from panelcast.sources import sinks as sk
 from panelcast.streaming.hourly import stream_hourly
@@ -31,8 +30,7 @@ from panelcast.streaming.upserts import stream_upsert
 
 def scratch(t, name: str) -> str:
     """A fresh folder for a round trip: under the shared folder where the cluster names one."""
-    base = checkpoint_dir(t.spark) or tempfile.mkdtemp(prefix="panelcast-")
-    return f"{base}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_folder(t.spark)}/{name}-{uuid.uuid4().hex}"
 
 
 # --- joins and sets ----------------------------------------------------------------------------
@@ -551,7 +549,7 @@ def _(t):
     target, source = pn.upsert_sides(t.orders)
     part = {"bucket": F.pmod(F.xxhash64("o_orderkey"), F.lit(8)).cast("int")}
     for rows in (target, source, source):  # the second load of the source changes nothing
-        sk.upsert(t.spark, path, rows, "o_orderkey", ["o_totalprice"], part, folder=f"{path}-checkpoints")
+        sk.upsert(t.spark, path, rows, "o_orderkey", ["o_totalprice"], part)
     return t.spark.read.parquet(path)
 
 
@@ -608,7 +606,7 @@ def _(t):
         feed = t.spark.readStream.schema(target.schema).parquet(f"{base}/in/seq={seq}")
         part = {"bucket": F.pmod(F.xxhash64("o_orderkey"), F.lit(8)).cast("int")}
         writer = stream_upsert(
-            feed, f"{base}/table", "o_orderkey", ["o_totalprice"], f"{base}/state{seq}", part, folder=f"{base}/checkpoints"
+            feed, f"{base}/table", "o_orderkey", ["o_totalprice"], f"{base}/state{seq}", part
         )
         writer.trigger(availableNow=True).start().awaitTermination()
     return t.spark.read.parquet(f"{base}/table")

@@ -88,32 +88,38 @@ def easter_date(year) -> Column:
     return F.date_add(F.make_date(y, F.lit(3), F.lit(21)), from_21_march)
 
 
-def _test(date, rule) -> Column:
-    kind, *args = rule
+def _tests(date, rules: dict[str, tuple]) -> dict[str, Column]:
+    """One boolean per rule; the parts of the date and its Easter are worked out once for all."""
     d = _c(date)
-    if kind == "fixed":
-        return fixed_holiday(d, *args)
-    if kind == "monday":
-        return weekday_band_flag(d, args[0], 0, args[1], args[2])
-    return d == F.date_add(easter_date(F.year(d)), args[0])
+    month, day = F.month(d), F.dayofmonth(d)
+    monday = F.weekday(d) == 0
+    since_easter = F.date_diff(d, easter_date(F.year(d)))
+
+    def test(kind, *args):
+        if kind == "easter":
+            return since_easter == args[0]
+        if kind == "fixed":
+            return (month == args[0]) & (day == args[1])
+        return (month == args[0]) & monday & day.between(args[1], args[2])
+
+    return {name: test(*rule) for name, rule in rules.items()}
 
 
-def holiday_flags(date) -> dict[str, Column]:
-    """One 0/1 column per flagged holiday."""
-    return {name: F.when(_test(date, rule), 1).otherwise(0) for name, rule in HOLIDAY_RULES.items()}
+def _flag(test: Column) -> Column:
+    return F.when(test, 1).otherwise(0)
 
 
 def is_holiday(date) -> Column:
-    any_rule = reduce(or_, (_test(date, rule) for rule in HOLIDAY_RULES.values()))
-    return F.when(any_rule, 1).otherwise(0)
+    return _flag(reduce(or_, _tests(date, HOLIDAY_RULES).values()))
 
 
 def calendar_flags(date) -> dict[str, Column]:
     """Holiday flags of a date with its neighbours on the calendar."""
     d = _c(date)
+    tests = _tests(d, HOLIDAY_RULES)
     return {
-        **holiday_flags(d),
-        "is_holiday": is_holiday(d),
+        **{name: _flag(test) for name, test in tests.items()},
+        "is_holiday": _flag(reduce(or_, tests.values())),
         "is_day_before_holiday": is_holiday(F.date_add(d, 1)),
         "is_day_after_holiday": is_holiday(F.date_sub(d, 1)),
     }
@@ -121,10 +127,8 @@ def calendar_flags(date) -> dict[str, Column]:
 
 def holiday_name(date) -> Column:
     """Name from the named list, null on other days."""
-    out = F.lit(None).cast("string")
-    for name, rule in NAMED_RULES.items():
-        out = F.when(_test(date, rule), F.lit(name)).otherwise(out)
-    return out
+    named = [F.when(test, F.lit(name)) for name, test in _tests(date, NAMED_RULES).items()]
+    return F.coalesce(*named)
 
 
 def named_holiday_dates(year) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from panelcast.operators.blocks import as_keys
 from panelcast.operators.ranking import rank_average, top_n_per_group
+from panelcast.session import settle
 
 # Reference weather zones (name, latitude, longitude, weight, city).
 WEATHER_ZONES = [
@@ -150,8 +151,8 @@ def collinear_pairs(df: DataFrame, features: Iterable[str], threshold: float = 0
 
 def combined_rank(scores: DataFrame, a: str = "correlation", b: str = "importance") -> DataFrame:
     """Mean of two descending average ranks; a missing score ranks as zero."""
-    filled = scores.fillna(0.0, [a, b])
-    ranked = rank_average(rank_average(filled, a, "corr_rank"), b, "imp_rank")
+    filled = settle(scores.fillna(0.0, [a, b]))
+    ranked = rank_average(rank_average(filled, a, "corr_rank", stable=True), b, "imp_rank", stable=True)
     return ranked.withColumn("avg_rank", (F.col("corr_rank") + F.col("imp_rank")) / 2.0)
 
 

@@ -39,10 +39,25 @@ def _spread(df: DataFrame, position: Column, width: int, back: int, ahead: int)
     return copies.withColumn("_own", own)
 
 
-def _finish(df: DataFrame, build: Build, window: WindowSpec, scratch: list[str]) -> DataFrame:
+def _finish(
+    df: DataFrame, build: Build, keys: list[str], order: str, scratch: list[str], tasks: int | None
+) -> DataFrame:
+    """Run the window per block and drop the halo.
+
+    Spark may merge small shuffle partitions, which is right unless the window is heavy or feeds
+    an expansion; ``tasks`` then fixes the number of tasks at no extra shuffle.
+    """
+    if tasks:
+        df = df.repartition(tasks, *keys, "_block")
+    window = Window.partitionBy(*keys, "_block").orderBy(order)
     return df.withColumns(build(window)).filter(F.col("_own")).drop("_block", "_own", *scratch)
 
 
+def default_tasks(df: DataFrame) -> int:
+    """The session's shuffle partition count, the size the operator of the cluster chose."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def over_time_blocks(
     df: DataFrame,
     key,
@@ -51,6 +66,7 @@ def over_time_blocks(
     back: int = 0,
     ahead: int = 0,
     width: int | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Window columns whose frames reach at most ``back`` / ``ahead`` seconds from the row.
 
@@ -59,8 +75,7 @@ def over_time_blocks(
     width = width or max(28 * DAY, 4 * (back + ahead))
     placed = df.withColumn("_t", micros(ts))
     cut = _spread(placed, F.col("_t"), width * MICRO, back * MICRO, ahead * MICRO)
-    window = Window.partitionBy(*as_keys(key), "_block").orderBy("_t")
-    return _finish(cut, build, window, ["_t"])
+    return _finish(cut, build, as_keys(key), "_t", ["_t"], tasks)
 
 
 def number_rows(df: DataFrame, key, ts: str, cell: int = 7 * DAY) -> DataFrame:
@@ -92,13 +107,13 @@ def over_row_blocks(
     ahead: int = 0,
     rows: int | None = None,
     cell: int = 7 * DAY,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Window columns whose frames reach at most ``back`` / ``ahead`` rows from the row."""
     rows = rows or max(2048, 8 * (back + ahead))
     columns = df.columns
     cut = _spread(number_rows(df, key, ts, cell), F.col("_rn"), rows, back, ahead)
-    window = Window.partitionBy(*as_keys(key), "_block").orderBy("_rn")
-    out = _finish(cut, build, window, ["_t", "_rn"])
+    out = _finish(cut, build, as_keys(key), "_rn", ["_t", "_rn"], tasks)
     return out.select(*columns, *[c for c in out.columns if c not in columns])
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from panelcast.operators.blocks import as_keys
 from panelcast.operators.joins import attach_one_row
 from panelcast.operators.ranking import percentiles
+from panelcast.session import settle
 
 TINY = 1e-6
 CHECKPOINTS = [1, 6, 12, 24, 48, 72, 96, 120, 144, 168]
@@ -71,7 +72,7 @@ ERROR_SHARES = {f"error_q{p}": p / 100.0 for p in (25, 50, 75, 90, 95, 99)}
 def metrics_full(df: DataFrame, y: str, yhat: str, by=()) -> DataFrame:
     """The monitoring metric set: errors, bias, coverage bands, error percentiles, moments."""
     keys = as_keys(by)
-    pairs = finite_pairs(df, y, yhat)
+    pairs = settle(finite_pairs(df, y, yhat).select(*keys, y, yhat))
     a, p = F.col(y), F.col(yhat)
     off = F.abs(F.try_divide(p - a, a)) * 100.0
     bands = [
@@ -92,7 +93,7 @@ def metrics_full(df: DataFrame, y: str, yhat: str, by=()) -> DataFrame:
         F.avg(p).alias("mean_pred"),
         F.stddev_samp(p).alias("std_pred"),
     )
-    spread = percentiles(pairs.withColumn("_error", F.abs(p - a)), "_error", ERROR_SHARES, keys)
+    spread = percentiles(pairs.withColumn("_error", F.abs(p - a)), "_error", ERROR_SHARES, keys, stable=True)
     return core.join(spread, keys, "left") if keys else attach_one_row(core, spread)
 
 
@@ -175,7 +176,8 @@ DISTRIBUTION_SHARES = {f"error_q{p:02d}": p / 100.0 for p in (1, 5, 10, 25, 50,
 def error_distribution(df: DataFrame, y: str, yhat: str) -> DataFrame:
     """Moments and percentiles of signed, absolute and relative errors."""
     a, p = F.col(y), F.col(yhat)
-    pairs = finite_pairs(df, y, yhat).withColumns({"_error": p - a, "_abs": F.abs(p - a)})
+    settled = settle(finite_pairs(df, y, yhat).select(y, yhat))
+    pairs = settled.withColumns({"_error": p - a, "_abs": F.abs(p - a)})
     relative = F.try_divide(F.col("_error"), a) * 100.0
     core = pairs.agg(
         F.avg("_error").alias("error_mean"),
@@ -184,8 +186,8 @@ def error_distribution(df: DataFrame, y: str, yhat: str) -> DataFrame:
         F.avg(relative).alias("error_pct_mean"),
         F.stddev_samp(relative).alias("error_pct_std"),
     )
-    signed = percentiles(pairs, "_error", {"error_median": 0.5})
-    absolute = percentiles(pairs, "_abs", {**DISTRIBUTION_SHARES, "error_abs_median": 0.5})
+    signed = percentiles(pairs, "_error", {"error_median": 0.5}, stable=True)
+    absolute = percentiles(pairs, "_abs", {**DISTRIBUTION_SHARES, "error_abs_median": 0.5}, stable=True)
     return attach_one_row(attach_one_row(core, signed), absolute)
 
 

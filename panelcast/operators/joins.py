@@ -31,8 +31,10 @@ def attach(df: DataFrame, stats: DataFrame, key, salts: int = SALTS) -> DataFram
 
 
 def attach_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Put the columns of a global aggregate on every row; the broadcast side is one row."""
-    return df.crossJoin(F.broadcast(one_row))
+    """Put the columns of a global aggregate on every row as a scalar subquery, without a join."""
+    packed = one_row.select(F.struct(*one_row.columns)).scalar()
+    added = [F.col("_one").getField(c).alias(c) for c in one_row.columns]
+    return df.withColumn("_one", packed).select(*df.columns, *added)
 
 
 def lookup(df: DataFrame, dimension: DataFrame, on, bound: int | None = None) -> DataFrame:

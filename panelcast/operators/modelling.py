@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from panelcast.functions.scalars import horizon_features
 from panelcast.functions.timecols import horizon_hours
 from panelcast.operators.evaluation import metrics
-from panelcast.operators.joins import attach
+from panelcast.operators.joins import attach, attach_one_row
 from panelcast.operators.quality import feature_coverage
 from panelcast.operators.ranking import cumulative_share, percentiles
 from panelcast.operators.series import continuous_history, history_slice
@@ -120,7 +120,7 @@ def feature_importance(model: PipelineModel, df: DataFrame) -> DataFrame:
 def choose_features(results: DataFrame, tolerance: float = 0.05) -> DataFrame:
     """The candidate with the fewest features whose WAPE is within ``tolerance`` of the best."""
     best = results.agg(F.min("wape").alias("_best"))
-    close = results.crossJoin(F.broadcast(best)).filter(F.col("wape") <= F.col("_best") + tolerance)
+    close = attach_one_row(results, best).filter(F.col("wape") <= F.col("_best") + tolerance)
     return close.drop("_best").orderBy("actual_feature_count", "wape", "mae").limit(1)
 
 
@@ -181,11 +181,8 @@ def contributions(
             for c in names
         ]
     )
-    return (
-        df.select(*ids, *names)
-        .crossJoin(F.broadcast(mean_row))
-        .select(*ids, base.alias("base_value"), F.inline(parts))
-    )
+    rows = attach_one_row(df.select(*ids, *names), mean_row)
+    return rows.select(*ids, base.alias("base_value"), F.inline(parts))
 
 
 def score_direct(

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from panelcast.operators.blocks import as_keys
 from panelcast.operators.joins import attach, attach_one_row
+from panelcast.session import settle
 
 ACCURACY = 10_000
 BINS = 4096
@@ -22,11 +23,14 @@ def _named(ps) -> dict[str, float]:
     return dict(ps) if isinstance(ps, dict) else {f"p{p}": p / 100.0 for p in ps}
 
 
-def percentiles(df: DataFrame, y: str, ps, by=(), accuracy: int = ACCURACY) -> DataFrame:
+def percentiles(
+    df: DataFrame, y: str, ps, by=(), accuracy: int = ACCURACY, stable: bool = False
+) -> DataFrame:
     """Exact percentiles with linear interpolation, one column each, per group.
 
     ``ps`` maps output names to shares, or lists percents. The built-in exact percentile keeps
-    every distinct value of a group in one task; this reads the rows three times instead:
+    every distinct value of a group in one task; this reads the rows three times instead. They are
+    written once for that, unless ``stable`` says they already come straight from files:
 
     1. a mergeable sketch gives, per group and share, two values that enclose the answer;
     2. one aggregate counts what lies below the enclosure and keeps the nearest value outside it
@@ -56,65 +60,64 @@ def percentiles(df: DataFrame, y: str, ps, by=(), accuracy: int = ACCURACY) -> D
         keys = [f"_k{i}" for i in range(len(tags))]
         rows = rows.select(*[t.alias(k) for t, k in zip(tags, keys)], *group_columns, "_v")
 
+    if not stable:
+        rows = settle(rows)
     sketch = grouped(
         rows,
         F.percentile_approx("_v", lows, accuracy).alias("_lo"),
         F.percentile_approx("_v", highs, accuracy).alias("_hi"),
     )
-    enclosed = beside(rows, sketch)
     value = F.col("_v")
-    counts = [*labels, F.count(F.lit(1)).alias("_n")]
-    for i in range(len(names)):
+    enclosures = [*labels, F.count(F.lit(1)).alias("_n")]
+    for i, share in enumerate(named.values()):
         lo, hi = F.col("_lo")[i], F.col("_hi")[i]
-        counts.append(
+        enclosures.append(
             F.struct(
                 F.lit(i).alias("i"),
+                F.lit(share).alias("share"),
+                F.first(lo).alias("lo"),
+                F.first(hi).alias("hi"),
                 F.count_if(value < lo).alias("below"),
                 F.count_if(value.between(lo, hi)).alias("within"),
                 F.max(F.when(value < lo, value)).alias("left"),
                 F.min(F.when(value > hi, value)).alias("right"),
             ).alias(f"_s{i}")
         )
-    located = grouped(enclosed, *counts)
-    shares = F.array(*[F.lit(float(p)) for p in named.values()])
-    wanted = located.select(
-        *keys, *group_columns, "_n", F.inline(F.array(*[F.col(f"_s{i}") for i in range(len(names))]))
-    ).withColumn("_pos", shares[F.col("i")] * (F.col("_n") - 1))
-    wanted = wanted.withColumns(
-        {"_from": F.floor("_pos"), "_to": F.ceil("_pos"), "_part": F.col("_pos") - F.floor("_pos")}
-    )
-    too_high = F.col("_from") < F.col("below") - 1
-    too_low = F.col("_to") > F.col("below") + F.col("within")
-    wanted = wanted.withColumn("_gap", (too_high | too_low).cast("int"))
+    located = grouped(beside(rows, sketch), *enclosures)
+    spots = F.array(*[F.col(f"_s{i}") for i in range(len(names))]).alias("_spots")
+    located = located.select(*keys, "_n", spots)
 
-    hits = F.filter(
-        F.sequence(F.lit(0), F.lit(len(names) - 1)),
-        lambda i: value.between(F.col("_lo")[i], F.col("_hi")[i]),
-    )
+    # the third pass carries the enclosures with the rows, so all numbers stem from one sketch
+    inside = F.filter("_spots", lambda s: value.between(s["lo"], s["hi"]))
     merged = (
-        enclosed.withColumn("i", F.explode(hits))
-        .groupBy(*keys, "i", "_v")
-        .agg(F.count(F.lit(1)).alias("_c"))
+        beside(rows, located)
+        .withColumn("_s", F.explode(inside))
+        .groupBy(*keys, F.col("_s.i").alias("i"), "_v")
+        .agg(F.count(F.lit(1)).alias("_c"), F.first("_n").alias("_n"), F.first("_s").alias("_s"), *labels)
     )
     running = Window.partitionBy(*keys, "i").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ordered = merged.withColumn("_upto", F.sum("_c").over(running))
-    placed = ordered.join(wanted, [*keys, "i"]).withColumn("_end", F.col("below") + F.col("_upto"))
-    start = F.col("_end") - F.col("_c")
+    position = F.col("_s.share") * (F.col("_n") - 1)
+    end = F.col("_s.below") + F.sum("_c").over(running)
+    placed = merged.withColumns({"_pos": position, "_end": end})
+    start, lower, upper = F.col("_end") - F.col("_c"), F.floor("_pos"), F.ceil("_pos")
 
-    def at(position):
-        return F.max(F.when((start <= F.col(position)) & (F.col(position) < F.col("_end")), F.col("_v")))
+    def at(rank):
+        return F.max(F.when((start <= rank) & (rank < F.col("_end")), value))
 
     found = placed.groupBy(*keys, "i").agg(
-        at("_from").alias("_a"),
-        at("_to").alias("_b"),
-        *[F.first(c).alias(c) for c in ("_part", "_gap", "left", "right")],
+        at(lower).alias("_a"),
+        at(upper).alias("_b"),
+        F.first("_pos").alias("_pos"),
+        F.first("_s").alias("_s"),
         *labels,
     )
-    # off-by-one of the enclosure: the neighbour outside it is the missing order statistic
-    low, high = F.coalesce("_a", "left"), F.coalesce("_b", "right")
-    answer = F.when(F.col("_part") == 0, low).otherwise(low + (high - low) * F.col("_part"))
+    # off by one at an end of the enclosure: the neighbour outside it is the missing value
+    low, high = F.coalesce("_a", "_s.left"), F.coalesce("_b", "_s.right")
+    part = F.col("_pos") - lower
+    answer = F.when(part == 0, low).otherwise(low + (high - low) * part)
+    outside = (lower < F.col("_s.below") - 1) | (upper > F.col("_s.below") + F.col("_s.within"))
     missed = F.raise_error(F.lit("percentile enclosure missed its rank")).cast("double")
-    wide = found.withColumn("_q", F.when(F.col("_gap") == 1, missed).otherwise(answer))
+    wide = found.withColumn("_q", F.when(outside, missed).otherwise(answer))
     columns = [F.max(F.when(F.col("i") == i, F.col("_q"))).alias(name) for i, name in enumerate(names)]
     return grouped(wide, *labels, *columns).drop(*keys)
 
@@ -129,14 +132,20 @@ def _binned(df: DataFrame, order: str, bins: int) -> DataFrame:
 
 
 def running_total(
-    df: DataFrame, order: str, amount: Column, name: str, ties: Iterable[str] = (), bins: int = BINS
+    df: DataFrame,
+    order: str,
+    amount: Column,
+    name: str,
+    ties: Iterable[str] = (),
+    bins: int = BINS,
+    stable: bool = False,
 ) -> DataFrame:
     """Sum of ``amount`` over all rows from the largest ``order`` down to the current row.
 
     Bin totals are at most ``bins`` rows; only they meet in one task. Inside a bin the rows are
     ordered locally, ``ties`` after the order column.
     """
-    rows = _binned(df.withColumn("_amount", amount), order, bins)
+    rows = _binned((df if stable else settle(df)).withColumn("_amount", amount), order, bins)
     totals = rows.groupBy("_bin").agg(F.sum("_amount").alias("_sum"))
     above = Window.orderBy(F.desc("_bin")).rowsBetween(Window.unboundedPreceding, -1)
     carried = totals.select("_bin", F.coalesce(F.sum("_sum").over(above), F.lit(0)).alias("_above"))
@@ -152,26 +161,30 @@ def running_total(
     )
 
 
-def rank_average(df: DataFrame, column: str, name: str | None = None, bins: int = BINS) -> DataFrame:
+def rank_average(
+    df: DataFrame, column: str, name: str | None = None, bins: int = BINS, stable: bool = False
+) -> DataFrame:
     """Rank from the largest value down; equal values share the mean of their ranks.
 
     Values are merged first, so a value that fills a third of the rows counts as one.
     """
     name = name or f"{column}_rank"
+    df = df if stable else settle(df)
     counted = df.groupBy(column).agg(F.count(F.lit(1)).alias("_c"))
     known = counted.filter(F.col(column).isNotNull())
-    ranked = running_total(known, column, F.col("_c"), "_upto", bins=bins)
+    ranked = running_total(known, column, F.col("_c"), "_upto", bins=bins, stable=True)
     mean_rank = F.col("_upto") - (F.col("_c") - 1) / F.lit(2.0)
     return attach(df, ranked.select(column, mean_rank.alias(name)), column)
 
 
 def cumulative_share(df: DataFrame, column: str, ties: Iterable[str] = (), bins: int = BINS) -> DataFrame:
     """Percentage of the total per row and its running sum from the largest row down."""
+    df = settle(df)
     total = df.agg(F.sum(column).alias("_total"))
     share = F.when(F.col("_total") > 0, F.col(column) / F.col("_total") * 100.0).otherwise(0.0)
     shares = attach_one_row(df, total).withColumn(f"{column}_pct", share).drop("_total")
     return running_total(
-        shares, column, F.col(f"{column}_pct"), f"cumulative_{column}_pct", ties=ties, bins=bins
+        shares, column, F.col(f"{column}_pct"), f"cumulative_{column}_pct", ties=ties, bins=bins, stable=True
     )
 
 

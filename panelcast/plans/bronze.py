@@ -29,18 +29,18 @@ def demand_tables(report: DataFrame, now: datetime, tz: str = LOCAL_ZONE) -> tup
 
 
 def load_demand(
-    spark: SparkSession, report: DataFrame, now: datetime, totals_path: str, zonal_path: str, folder: str | None = None
+    spark: SparkSession, report: DataFrame, now: datetime, totals_path: str, zonal_path: str
 ) -> None:
     """Upsert both demand tables; reloading a window of days leaves one row per key."""
     totals, zonal = demand_tables(report, now)
     day = {"load_date": F.to_date("datetime")}
     upsert(
         spark, totals_path, totals, ["datetime"],
-        ["market_demand", "ontario_demand", "ingestion_time"], day, folder=folder,
+        ["market_demand", "ontario_demand", "ingestion_time"], day,
     )
     upsert(
         spark, zonal_path, zonal, ["datetime", "zone"], ["demand_mw", "ingestion_time"],
-        {"load_month": F.date_trunc("month", "datetime").cast("date")}, folder=folder,
+        {"load_month": F.date_trunc("month", "datetime").cast("date")},
     )
 
 

@@ -16,7 +16,7 @@ from panelcast.functions.scalars import (
     weather_interactions,
 )
 from panelcast.functions.timecols import add_hours, cyclic, date_parts, day_parts, micros, to_local
-from panelcast.operators.blocks import HOUR, MICRO, as_keys, over_row_blocks, over_time_blocks
+from panelcast.operators.blocks import HOUR, MICRO, as_keys, default_tasks, over_row_blocks, over_time_blocks
 from panelcast.operators.calendar import with_calendar
 from panelcast.operators.projection import coerce_numeric, require_non_null, select_ordered
 from panelcast.operators.quality import coalesce_duplicates, validity_flags
@@ -171,7 +171,9 @@ def features_24h(
         ahead = {name: checked_shift("datetime", c, -horizon, w) for c, name in TARGET_NAMES.items()}
         return history_windows(w) | ahead
 
-    windowed = over_row_blocks(panel, "zone", "datetime", build, back=max(DEMAND_LAGS), ahead=horizon, rows=rows)
+    windowed = over_row_blocks(
+        panel, "zone", "datetime", build, back=max(DEMAND_LAGS), ahead=horizon, rows=rows, tasks=default_tasks(panel)
+    )
     issued = windowed.withColumns(history_changes()).withColumnRenamed("datetime", "issue_datetime")
     timed = issued.withColumns(
         {
@@ -209,7 +211,10 @@ def expand_with_targets(
         return {"_coming": F.collect_list(F.struct("_t", *picked)).over(coming)}
 
     kinds = dict(df.dtypes)
-    gathered = over_time_blocks(df, as_keys(key), ts, build, ahead=hi * step, width=width)
+    # each task multiplies its rows, so small inputs must not be merged into few tasks
+    gathered = over_time_blocks(
+        df, as_keys(key), ts, build, ahead=hi * step, width=width, tasks=default_tasks(df)
+    )
     now = micros(ts)
     on_step = F.filter("_coming", lambda x: F.pmod(x["_t"] - now, F.lit(unit)) == 0)
     present = F.transform(
@@ -241,7 +246,9 @@ def features_7d(
 ) -> DataFrame:
     """One row per zone, issue hour and horizon."""
     panel = clean_panel(silver, order).withColumn("_rain", F.coalesce("precipitation_mm", F.lit(0.0)))
-    windowed = over_row_blocks(panel, "zone", "datetime", history_windows, back=max(DEMAND_LAGS), rows=rows)
+    windowed = over_row_blocks(
+        panel, "zone", "datetime", history_windows, back=max(DEMAND_LAGS), rows=rows, tasks=default_tasks(panel)
+    )
     issued = windowed.withColumns(history_changes())
     expanded = expand_with_targets(issued, TARGET_NAMES, lo, hi, width=width)
     timed = expanded.withColumnRenamed("datetime", "issue_datetime").withColumns(

@@ -15,6 +15,7 @@ from panelcast.operators.evaluation import (
     metrics_full,
     row_errors,
 )
+from panelcast.operators.joins import attach_one_row
 from panelcast.sources.sinks import append_evolving
 
 SAMPLE_ROWS = 1000
@@ -45,7 +46,7 @@ def evaluation_tables(
         (F.try_divide(F.col("error_mw"), F.col(y)) * 100.0).alias("error_pct"),
     )
     tables = {
-        "model_performance_global": metrics_full(predictions, y, yhat).crossJoin(F.broadcast(period)),
+        "model_performance_global": attach_one_row(metrics_full(predictions, y, yhat), period),
         "model_performance_by_zone": metrics_full(predictions, y, yhat, "zone"),
         "model_performance_by_time": metrics_by_time(predictions, y, yhat),
         "model_error_distribution": error_distribution(predictions, y, yhat),

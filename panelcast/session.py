@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -25,16 +28,27 @@ def build_session(master: str | None = None, app: str = "panelcast", **conf: str
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared folder the cluster names for checkpoints, if it names one."""
-    return spark.conf.get("spark.checkpoint.dir", None) or None
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """Where intermediate tables go: the cluster's folder, or on one machine a temporary one."""
+    named = checkpoint_dir(spark)
+    if named is None:
+        named = tempfile.mkdtemp(prefix="panelcast-")
+        spark.sparkContext.setCheckpointDir(named)
+        named = spark.sparkContext.getCheckpointDir()
+    return named.rstrip("/")
+
 
+def settle(df: DataFrame) -> DataFrame:
+    """Write a frame to the shared folder and read it back.
 
-def cut_lineage(df, folder: str | None = None):
-    """Reliable checkpoint in the shared folder; ``folder`` serves only where none is configured."""
+    Operators that pass over the same rows more than once settle them first. Every pass then sees
+    the same values (a sum of doubles may differ in its last bits when it is computed again), the
+    upstream plan runs once, and a lost executor costs a re-read instead of a recomputation.
+    """
     spark = df.sparkSession
-    target = checkpoint_dir(spark) or folder
-    context = spark.sparkContext
-    if target and context.getCheckpointDir() is None:
-        context.setCheckpointDir(target)
-    if context.getCheckpointDir() is None:
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return df.checkpoint()
+    path = f"{shared_folder(spark)}/settled-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from panelcast.operators.blocks import as_keys
 from panelcast.operators.quality import dedup_ordered
-from panelcast.session import cut_lineage
+from panelcast.session import settle
 from panelcast.sources.readers import _exists
 
 
@@ -79,12 +79,11 @@ def upsert(
     update: Iterable[str],
     partitions: dict[str, Column] | None = None,
     order: str | None = None,
-    folder: str | None = None,
 ) -> None:
     """Upsert into a parquet table, rewriting only the partitions the source touches.
 
     ``partitions`` derives the directory columns from key columns, so a key never changes its
-    directory. The merged rows are checkpointed before the write: the job neither reads what it is
+    directory. The merged rows are settled before the write: the job neither reads what it is
     overwriting nor recomputes from it if an executor is lost.
     """
     keys, partitions = as_keys(keys), partitions or {}
@@ -100,7 +99,7 @@ def upsert(
         fresh = fresh.withColumns({n: F.col(n).cast(kinds[n]) for n in names})
         touched = fresh.select(*names).distinct()
         target = target.join(touched, names, "left_semi")
-    merged = cut_lineage(merge_rows(target, fresh, keys, update), folder)
+    merged = settle(merge_rows(target, fresh, keys, update))
     write_partitioned(merged, path, partitions, replace=not partitions)
 
 

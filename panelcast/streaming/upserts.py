@@ -18,13 +18,12 @@ def stream_upsert(
     checkpoint: str,
     partitions: dict[str, Column] | None = None,
     order: str | None = None,
-    folder: str | None = None,
 ) -> DataStreamWriter:
     """A writer that upserts each micro-batch; a replayed batch leaves the table unchanged."""
     update = list(update)
 
     def apply(batch: DataFrame, _epoch: int) -> None:
         if not batch.isEmpty():
-            upsert(batch.sparkSession, path, batch, keys, update, partitions, order, folder)
+            upsert(batch.sparkSession, path, batch, keys, update, partitions, order)
 
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
