@@ -7,9 +7,10 @@ shuffled join.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelcast.functions import holidays as H
@@ -37,21 +38,27 @@ def holiday_calendar(spine: DataFrame, day: str = "calendar_date") -> DataFrame:
     return spine.withColumns(H.calendar_flags(day))
 
 
-def with_calendar(df: DataFrame, date_col: str, years: tuple[int, int] | None = None) -> DataFrame:
-    """Holiday flags of a date column.
+def with_calendar(
+    df: DataFrame,
+    date_col: str,
+    years: tuple[int, int] | None = None,
+    extra: Callable[[str], dict[str, Column]] | None = None,
+) -> DataFrame:
+    """Holiday flags of a date column, and whatever ``extra`` derives from the date.
 
-    With known, few years the flags come from a broadcast spine; otherwise each row computes
-    them, which needs no join at all.
+    With known, few years both come from a broadcast date dimension, worked out once per day
+    instead of once per row; the years must cover the dates, give or take one year. Without years
+    each row computes them, which needs no join at all.
     """
+    more = extra or (lambda _: {})
     if years and years[1] - years[0] < SPINE_YEARS:
-        spine = holiday_calendar(date_spine(df.sparkSession, *years)).withColumnRenamed(
-            "calendar_date", date_col
-        )
-        rows = (years[1] - years[0] + 3) * 366
-        flags = [c for c in spine.columns if c != date_col]
-        joined = lookup(df, spine, date_col, bound=rows)
+        days = holiday_calendar(date_spine(df.sparkSession, *years))
+        flags = [c for c in days.columns if c != "calendar_date"]
+        dimension = days.withColumns(more("calendar_date")) if extra else days
+        dimension = dimension.withColumnRenamed("calendar_date", date_col)
+        joined = lookup(df, dimension, date_col, bound=_bound(years))
         return joined.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in flags})
-    return df.withColumns(H.calendar_flags(date_col))
+    return df.withColumns({**H.calendar_flags(date_col), **more(date_col)})
 
 
 def school_break_days(years: DataFrame, year: str = "year") -> DataFrame:

@@ -9,18 +9,24 @@ from panelcast.functions.timecols import add_hours
 from panelcast.operators.blocks import as_keys
 from panelcast.schemas import require_columns
 
-SALTS = 16
 BROADCAST_ROWS = 1_000_000
 
 
-def attach(df: DataFrame, stats: DataFrame, key, salts: int = SALTS) -> DataFrame:
+def default_salts(df: DataFrame) -> int:
+    """A sixteenth of the shuffle partitions, between 8 and 64."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(64, max(8, partitions // 16))
+
+
+def attach(df: DataFrame, stats: DataFrame, key, salts: int | None = None) -> DataFrame:
     """Left join of per-key values onto many rows, with every key spread over ``salts`` tasks.
 
-    ``stats`` holds one row per key and is repeated once per salt. The salt comes from the row
+    ``stats`` holds one row per key and is repeated once per salt; what is still too large after
+    that, the adaptive skew join splits further. The salt comes from the row
     and its input partition, not from a random number: equal rows of different tasks spread, and
     a retried task sends its rows to the same place.
     """
-    keys = as_keys(key)
+    keys, salts = as_keys(key), salts or default_salts(df)
     spread = [c for c in df.columns if c not in keys]
     seed = F.xxhash64(*spread) if spread else F.lit(0)
     salt = F.pmod(seed + F.spark_partition_id(), F.lit(salts)).cast("int")

@@ -88,15 +88,17 @@ def fit_point(
     numbers = [f for f in features if f != key]
     known = df.agg(*[F.count(c).alias(c) for c in numbers]).first().asDict()
     features = [f for f in features if f == key or known[f] > 0]
+    prepared = Pipeline(stages=feature_stages(features, key)).fit(df)
     if kind == "gbt":
-        settings = {"maxIter": 20, "maxDepth": 5, "stepSize": 0.1, "seed": 42, **params}
-        # the series index is a category to the trees; allow as many levels as there are series
-        settings.setdefault("maxBins", 64)
+        # trees need one bin per series level, the level for unknown series included
+        levels = len(prepared.stages[0].labelsArray[0]) + 1 if key in features else 0
+        settings = {"maxIter": 20, "maxDepth": 5, "stepSize": 0.1, "seed": 42, "maxBins": max(64, levels), **params}
         model = GBTRegressor(labelCol=y, featuresCol="features", predictionCol="prediction_mw", **settings)
     else:
         settings = {"regParam": 1e-6, "solver": "normal", **params}
         model = LinearRegression(labelCol=y, featuresCol="features", predictionCol="prediction_mw", **settings)
-    return Pipeline(stages=[*feature_stages(features, key), model]).fit(df)
+    fitted = model.fit(prepared.transform(df).select("features", y))
+    return PipelineModel([*prepared.stages, fitted])
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:

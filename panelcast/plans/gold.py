@@ -134,20 +134,32 @@ def issue_time(tz: str) -> dict[str, Column]:
     return parts | cyclic(parts["issue_hour"], 24, "issue_hour")
 
 
-def target_time(tz: str) -> dict[str, Column]:
-    parts = date_parts(_local("target_datetime", tz), "target_")
-    return (
-        parts
-        | cyclic(parts["target_hour"], 24, "target_hour")
-        | cyclic(parts["target_day_of_week"], 7, "target_day_of_week")
-        | cyclic(parts["target_month"], 12, "target_month", offset=1)
-        | cyclic(parts["target_day_of_year"], 365.25, "target_day_of_year", offset=1)
-        | day_parts(parts["target_hour"], "target_time_")
-    )
+def target_hour_columns(tz: str) -> dict[str, Column]:
+    """What depends on the hour of the target time."""
+    local = _local("target_datetime", tz)
+    hour = F.hour(local)
+    return {
+        "target_date": F.to_date(local),
+        "target_hour": hour,
+        **cyclic(hour, 24, "target_hour"),
+        **day_parts(hour, "target_time_"),
+    }
+
+
+def target_day_columns(day: str) -> dict[str, Column]:
+    """What depends on the day of the target time only."""
+    parts = date_parts(day, "target_")
+    return {
+        **{n: c for n, c in parts.items() if n not in ("target_date", "target_hour")},
+        **cyclic(parts["target_day_of_week"], 7, "target_day_of_week"),
+        **cyclic(parts["target_month"], 12, "target_month", offset=1),
+        **cyclic(parts["target_day_of_year"], 365.25, "target_day_of_year", offset=1),
+    }
 
 
 def _target_features(df: DataFrame, tz: str, years: tuple[int, int] | None) -> DataFrame:
-    dated = with_calendar(df.withColumns(target_time(tz)), "target_date", years)
+    hourly = df.withColumns(target_hour_columns(tz))
+    dated = with_calendar(hourly, "target_date", years, target_day_columns)
     weather = dated.withColumns(target_weather())
     return weather.withColumns({**weather_interactions(), **holiday_interactions()})
 
