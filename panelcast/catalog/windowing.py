@@ -215,7 +215,7 @@ def _(t):
     + " FROM orders",
 )
 def _(t):
-    return rk.percentiles(t.orders, "o_totalprice", [1, 25, 50, 75, 99])
+    return rk.percentiles(t.orders, "o_totalprice", [1, 25, 50, 75, 99], stable=True)
 
 
 @check(
@@ -226,7 +226,7 @@ def _(t):
     + " FROM lineitem GROUP BY 1, 2",
 )
 def _(t):
-    return rk.percentiles(t.lineitem, "l_extendedprice", [10, 50, 90], ["l_returnflag", "l_quantity"])
+    return rk.percentiles(t.lineitem, "l_extendedprice", [10, 50, 90], ["l_returnflag", "l_quantity"], stable=True)
 
 
 def _folds_sql(k: int, days: int) -> str:

@@ -16,7 +16,7 @@ from panelcast.functions.scalars import (
     weather_interactions,
 )
 from panelcast.functions.timecols import add_hours, cyclic, date_parts, day_parts, micros, to_local
-from panelcast.operators.blocks import HOUR, MICRO, as_keys, default_tasks, over_row_blocks, over_time_blocks
+from panelcast.operators.blocks import DAY, HOUR, MICRO, as_keys, default_tasks, over_row_blocks, over_time_blocks
 from panelcast.operators.calendar import with_calendar
 from panelcast.operators.projection import coerce_numeric, require_non_null, select_ordered
 from panelcast.operators.quality import coalesce_duplicates, validity_flags
@@ -223,7 +223,9 @@ def expand_with_targets(
         return {"_coming": F.collect_list(F.struct("_t", *picked)).over(coming)}
 
     kinds = dict(df.dtypes)
-    # each task multiplies its rows, so small inputs must not be merged into few tasks
+    # each task multiplies its rows: short blocks (halo copies are dropped before the rows multiply)
+    # and a fixed task count keep the tasks small and even
+    width = width or max(hi * step, 7 * DAY)
     gathered = over_time_blocks(
         df, as_keys(key), ts, build, ahead=hi * step, width=width, tasks=default_tasks(df)
     )
