@@ -126,7 +126,7 @@ def _daily_pairs(t):
 )
 def _(t):
     rows = _daily_pairs(t)
-    return ml.backtest(rows, lambda df: ml.fit_point(df, ["lag_7h"], "y", "linear", regParam=0.0))
+    return ml.backtest(rows, lambda df: ml.fit_point(df, ["lag_7h"], "y", "linear", settled=True, regParam=0.0))
 
 
 REF = datetime(2024, 1, 25, 8, 0)

@@ -67,12 +67,14 @@ def to_utc(ts, zone: str, ambiguous: str = "standard") -> Column:
     local = as_timestamp(ts)
     utc = F.to_utc_timestamp(local, zone)
     later = utc + F.expr("INTERVAL 1 HOUR")
-    skipped = F.from_utc_timestamp(utc, zone) != local
+    there = F.from_utc_timestamp(utc, zone)
+    past_the_gap = F.unix_micros(there) - F.unix_micros(F.date_trunc("HOUR", there))
     resolved = utc
     if ambiguous == "standard":
         repeated = F.from_utc_timestamp(later, zone) == local
         resolved = F.when(repeated, later).otherwise(utc)
-    return F.when(skipped, F.date_trunc("HOUR", utc)).otherwise(resolved)
+    moved = F.timestamp_micros(F.unix_micros(utc) - past_the_gap)
+    return F.when(there != local, moved).otherwise(resolved)
 
 
 def dow_monday0(ts) -> Column:

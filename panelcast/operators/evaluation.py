@@ -7,7 +7,6 @@ the rows is reduced before any shuffle. A percentage error needs ``|actual| > 1e
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -97,42 +96,43 @@ def metrics_full(df: DataFrame, y: str, yhat: str, by=()) -> DataFrame:
     return core.join(spread, keys, "left") if keys else attach_one_row(core, spread)
 
 
-def _slice_metrics(df: DataFrame, y: str, yhat: str, by: str, with_bias: bool) -> DataFrame:
+def metrics_by_time(df: DataFrame, y: str, yhat: str, ts: str = "target_datetime") -> DataFrame:
+    """Metrics by hour, by weekday and by day type, stacked under a dimension tag.
+
+    Grouping sets read the rows once. Relative bias is given by hour only.
+    """
     a, p = F.col(y), F.col(yhat)
-    parts = [
+    weekday = F.weekday(ts)
+    parts = finite_pairs(df, y, yhat).select(
+        y,
+        yhat,
+        F.hour(ts).alias("hour"),
+        weekday.alias("day_of_week"),
+        F.when(weekday >= 5, "Weekend").otherwise("Weekday").alias("day_type"),
+    )
+    dimensions = ["hour", "day_of_week", "day_type"]
+    stacked = parts.groupingSets([[F.col(d)] for d in dimensions], *dimensions).agg(
+        # one bit per dimension that a row is not grouped by
+        F.grouping_id(*dimensions).alias("_set"),
         F.avg(_pct_error(a, p)).alias("mape"),
         F.avg(F.abs(p - a)).alias("mae"),
         F.sqrt(F.avg((p - a) * (p - a))).alias("rmse"),
         F.avg(a).alias("avg_demand"),
         F.count(F.lit(1)).alias("n_samples"),
-    ]
-    if with_bias:
-        parts.append((F.try_divide(F.avg(p - a), F.avg(a)) * 100.0).alias("bias_pct"))
-    return df.groupBy(by).agg(*parts)
-
-
-def metrics_by_time(df: DataFrame, y: str, yhat: str, ts: str = "target_datetime") -> DataFrame:
-    """Metrics by hour, by weekday and by day type, stacked under a dimension tag."""
-    pairs = finite_pairs(df, y, yhat)
-    weekday = F.weekday(ts)
-    parts = pairs.withColumns(
-        {
-            "hour": F.hour(ts),
-            "day_of_week": weekday,
-            "day_type": F.when(weekday >= 5, "Weekend").otherwise("Weekday"),
-        }
+        (F.try_divide(F.avg(p - a), F.avg(a)) * 100.0).alias("_bias"),
     )
     names = F.array(*[F.lit(n) for n in WEEKDAYS])
-    hourly = _slice_metrics(parts, y, yhat, "hour", True)
-    daily = _slice_metrics(parts, y, yhat, "day_of_week", False).withColumn(
-        "day_name", names[F.col("day_of_week")]
+    dimension = F.when(F.col("_set") == 3, "hour").when(F.col("_set") == 5, "day_of_week").otherwise("day_type")
+    return (
+        stacked.withColumns(
+            {
+                "time_dimension": dimension,
+                "day_name": F.when(F.col("day_of_week").isNotNull(), names[F.col("day_of_week")]),
+                "bias_pct": F.when(F.col("_set") == 3, F.col("_bias")),
+            }
+        )
+        .drop("_set", "_bias")
     )
-    kinds = _slice_metrics(parts, y, yhat, "day_type", False)
-    tagged = [
-        frame.withColumn("time_dimension", F.lit(tag))
-        for frame, tag in ((hourly, "hour"), (daily, "day_of_week"), (kinds, "day_type"))
-    ]
-    return reduce(lambda x, z: x.unionByName(z, allowMissingColumns=True), tagged)
 
 
 def metrics_by_horizon(
@@ -228,18 +228,6 @@ def compare_baselines(df: DataFrame, y: str, models: Iterable[str]) -> DataFrame
     return metrics(long, y, "_prediction", "model").orderBy("wape", "model")
 
 
-def bottom_up(
-    df: DataFrame, y: str, columns: dict[str, str], total_label: str, key="zone", at=("issue_datetime", "target_datetime")
-) -> DataFrame:
-    """Sum of the zone values per issue and target, the total zone left out.
-
-    ``columns`` maps value columns to output names; ``y`` becomes ``bottomup_actual_mw``.
-    """
-    zonal = df.filter(F.col(key) != total_label)
-    sums = [F.sum(c).alias(name) for c, name in columns.items()]
-    return zonal.groupBy(*at).agg(F.sum(y).alias("bottomup_actual_mw"), *sums)
-
-
 def reconcile_bottom_up(
     df: DataFrame,
     y: str,
@@ -249,17 +237,22 @@ def reconcile_bottom_up(
     bands: tuple[str, str] | None = None,
     at=("issue_datetime", "target_datetime"),
 ) -> DataFrame:
-    """Zone sums beside the directly forecast total, one row per issue and target."""
-    columns = {yhat: "bottomup_predicted_mw"}
+    """Zone sums beside the directly forecast total, one row per issue and target that has both.
+
+    Both sides come from one conditional aggregate, so there is no join.
+    """
+    is_total = F.col(key) == total_label
+    zonal = {y: "bottomup_actual_mw", yhat: "bottomup_predicted_mw"}
     if bands:
-        columns |= {bands[0]: "bottomup_lo_mw", bands[1]: "bottomup_hi_mw"}
-    sums = bottom_up(df, y, columns, total_label, key, at)
-    direct = (
-        df.filter(F.col(key) == total_label)
-        .groupBy(*at)
-        .agg(F.min(y).alias("direct_actual_mw"), F.min(yhat).alias("direct_predicted_mw"))
+        zonal |= {bands[0]: "bottomup_lo_mw", bands[1]: "bottomup_hi_mw"}
+    direct = {y: "direct_actual_mw", yhat: "direct_predicted_mw"}
+    both = df.groupBy(*at).agg(
+        *[F.sum(F.when(~is_total, F.col(c))).alias(name) for c, name in zonal.items()],
+        *[F.min(F.when(is_total, F.col(c))).alias(name) for c, name in direct.items()],
+        F.count_if(is_total).alias("_totals"),
+        F.count_if(~is_total).alias("_zones"),
     )
-    return sums.join(direct, list(at), "inner")
+    return both.filter("_totals > 0 AND _zones > 0").drop("_totals", "_zones")
 
 
 def coherence(reconciled: DataFrame) -> DataFrame:

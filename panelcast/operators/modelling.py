@@ -23,6 +23,7 @@ from panelcast.operators.ranking import cumulative_share, percentiles
 from panelcast.operators.series import continuous_history, history_slice
 from panelcast.operators.splits import with_folds
 from panelcast.schemas import require_columns
+from panelcast.session import settle
 
 # Inputs that feature selection always keeps.
 MANDATORY_FEATURES = [
@@ -78,13 +79,22 @@ def feature_stages(features: Iterable[str], key: str = "zone") -> list:
 
 
 def fit_point(
-    df: DataFrame, features: Iterable[str], y: str, kind: str = "gbt", key: str = "zone", **params
+    df: DataFrame,
+    features: Iterable[str],
+    y: str,
+    kind: str = "gbt",
+    key: str = "zone",
+    settled: bool = False,
+    **params,
 ) -> PipelineModel:
     """Point forecast model; ``kind`` is ``gbt`` or ``linear``.
 
-    Inputs that hold no value at all are left out, as no median exists for them.
+    Inputs that hold no value at all are left out, as no median exists for them. Fitting reads the
+    rows several times, so they are settled first unless they already come from files.
     """
-    features = [f for f in features]
+    features = list(features)
+    df = df.select(*features, y)
+    df = df if settled else settle(df)
     numbers = [f for f in features if f != key]
     known = df.agg(*[F.count(c).alias(c) for c in numbers]).first().asDict()
     features = [f for f in features if f == key or known[f] > 0]
@@ -313,7 +323,7 @@ def backtest(
     The loop runs over k models; each fit and each prediction is a distributed job. ``purge``
     drops training rows whose target reaches into the fold.
     """
-    folded = with_folds(df, k, days, issue)
+    folded = settle(with_folds(df, k, days, issue))
     starts = {
         row.fold: row.start
         for row in folded.filter("fold > 0").groupBy("fold").agg(F.min(issue).alias("start")).collect()

@@ -16,6 +16,7 @@ from panelcast.operators.evaluation import (
     row_errors,
 )
 from panelcast.operators.joins import attach_one_row
+from panelcast.session import settle
 from panelcast.sources.sinks import append_evolving
 
 SAMPLE_ROWS = 1000
@@ -30,11 +31,16 @@ def evaluation_tables(
     yhat: str = "prediction_mw",
     importance: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """Evaluation tables of one model by table name, every row stamped with time, model and run."""
+    """Evaluation tables of one model by table name, every row stamped with time, model and run.
+
+    The predictions are settled once and read by every table.
+    """
+    horizon = [c for c in ("forecast_horizon_hours",) if c in predictions.columns]
+    predictions = settle(predictions.select("zone", "target_datetime", *horizon, y, yhat))
     period = predictions.agg(
         F.min("target_datetime").alias("test_period_start"), F.max("target_datetime").alias("test_period_end")
     )
-    has_horizon = "forecast_horizon_hours" in predictions.columns
+    has_horizon = bool(horizon)
     # a week-ahead model is sampled at one horizon, so the sample is comparable over time
     pool = predictions.filter("forecast_horizon_hours = 24") if has_horizon else predictions
     errors = row_errors(pool, y, yhat).select(

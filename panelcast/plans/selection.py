@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 
 from panelcast.operators.aggregate import combined_rank, corr_with_target, sample, select_features
 from panelcast.operators.modelling import feature_importance, fit_point
+from panelcast.session import settle
 
 # The candidate features by group.
 FEATURE_GROUPS = {
@@ -43,9 +44,9 @@ def score_features(gold: DataFrame, features=None, fraction: float | None = None
     rows = gold.filter(gold[y].isNotNull()).select("zone", "issue_datetime", *features, y)
     if fraction:
         rows = sample(rows, fraction, ["zone", "issue_datetime"])
-    complete = rows.dropna(subset=[*features, y])
+    complete = settle(rows.dropna(subset=[*features, y]))
     correlation = corr_with_target(complete, features, y)
-    gains = feature_importance(fit_point(complete, features, y), complete)
+    gains = feature_importance(fit_point(complete, features, y, settled=True), complete)
     scores = correlation.join(gains.selectExpr("feature", "gain AS importance"), "feature", "left")
     return combined_rank(scores)
 
