@@ -18,7 +18,7 @@ from panelcast.functions.scalars import horizon_features
 from panelcast.functions.timecols import horizon_hours
 from panelcast.operators.evaluation import metrics
 from panelcast.operators.joins import attach, attach_one_row
-from panelcast.operators.quality import feature_coverage
+from panelcast.operators.quality import dedup_any, feature_coverage
 from panelcast.operators.ranking import cumulative_share, percentiles
 from panelcast.operators.series import continuous_history, history_slice
 from panelcast.operators.splits import with_folds
@@ -277,7 +277,8 @@ def score_recursive(
         (F.col("target_datetime") > F.lit(ref)) & (F.col("target_datetime") <= F.lit(window_end))
     ).select(
         key, F.col("target_datetime").alias("_at"), F.lit(True).alias("_ahead"), *[F.col(c).cast("double").alias(c) for c in exogenous]
-    ).dropDuplicates([key, "_at"])
+    )
+    ahead = dedup_any(ahead, [key, "_at"])
     rows = past.withColumn("_ahead", F.lit(False)).unionByName(ahead, allowMissingColumns=True)
 
     def run(group: pd.DataFrame) -> pd.DataFrame:

@@ -40,6 +40,8 @@ def dedup_ordered(df: DataFrame, key, order, keep: str = "first") -> DataFrame:
 def dedup_any(df: DataFrame, key) -> DataFrame:
     """One row per key, whichever; the whole row serves as order so that reruns agree."""
     keys = as_keys(key)
+    if not _rest(df, keys):
+        return df.distinct()
     smallest = F.min(F.struct(*_rest(df, keys))).alias("_row")
     picked = df.groupBy(*keys).agg(smallest)
     return picked.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelcast.operators.blocks import as_keys
-from panelcast.operators.quality import dedup_ordered
+from panelcast.operators.quality import dedup_any, dedup_ordered
 from panelcast.session import settle
 from panelcast.sources.readers import _exists
 
@@ -87,7 +87,7 @@ def upsert(
     overwriting nor recomputes from it if an executor is lost.
     """
     keys, partitions = as_keys(keys), partitions or {}
-    fresh = dedup_ordered(source, keys, [order], keep="last") if order else source.dropDuplicates(keys)
+    fresh = dedup_ordered(source, keys, [order], keep="last") if order else dedup_any(source, keys)
     fresh = fresh.withColumns(partitions) if partitions else fresh
     if not _exists(spark, path):
         write_partitioned(fresh, path, partitions)
