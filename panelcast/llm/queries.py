@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.llm import bpe
+from panelcast.llm import bpe, hyperminhash, secrets
 from panelcast.llm.common import table
 
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -23,7 +23,29 @@ def op1_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.scan(table(spark, folder, "documents").select("doc_id", "text"))
+    spans = F.col("secret_spans")
+
+    def count(kind: str):
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter(spans, lambda s: s["kind"] != "random")
+    return found.select(
+        "doc_id",
+        *[count(k) for k in secrets.KINDS],
+        F.sha2(secrets.listed(base).cast("binary"), 256).alias("base_sha256"),
+        secrets.listed(spans).alias("spans"),
+    )
+
+
+def op3_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return hyperminhash.near_duplicates(table(spark, folder, "documents"), hyperminhash.Rule(width=4, least=80, of=100))
+
+
 QUERIES = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
+    "op2_secret_scan": op2_secret_scan,
+    "op3_near_duplicates": op3_near_duplicates,
 }
 ORACLES: dict[str, str] = {}
