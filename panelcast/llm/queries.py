@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.llm import bpe, hyperminhash, secrets
+from panelcast.llm import bpe, cost_packing, exact_dedup, hyperminhash, license_scan, secrets, url_filter
 from panelcast.llm.common import table
 
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -43,9 +43,40 @@ def op3_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return hyperminhash.near_duplicates(table(spark, folder, "documents"), hyperminhash.Rule(width=4, least=80, of=100))
 
 
+def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    judged = url_filter.judge(table(spark, folder, "pages").select("page_id", "url"))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(spark, f"{folder}/documents.parquet")
+
+
+def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = license_scan.scan(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+def op10_cost_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return cost_packing.pack(table(spark, folder, "documents"), WORD_TOKENIZER, end_id=2).drop("ids")
+
+
+OP6_SQL = r"""
+    WITH rows AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
+    SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+           doc_id = min(doc_id) OVER w AS kept, sha256(t) AS text_sha256
+    FROM rows WINDOW w AS (PARTITION BY t)"""
+
 QUERIES = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op2_secret_scan": op2_secret_scan,
     "op3_near_duplicates": op3_near_duplicates,
+    "op5_url_filter": op5_url_filter,
+    "op6_exact_dedup": op6_exact_dedup,
+    "op9_license_scan": op9_license_scan,
+    "op10_cost_packing": op10_cost_packing,
+}
+ORACLES: dict[str, str] = {
+    "op5_url_filter": url_filter.judge_sql(),
+    "op6_exact_dedup": OP6_SQL,
 }
-ORACLES: dict[str, str] = {}
