@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.llm import bpe, cost_packing, exact_dedup, hyperminhash, license_scan, secrets, url_filter
+from panelcast.llm import bpe, cost_packing, exact_dedup, hyperminhash, license_scan, quality_model, secrets, url_filter
 from panelcast.llm.common import table
 
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -52,6 +52,12 @@ def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(spark, f"{folder}/documents.parquet")
 
 
+def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = quality_model.train(docs, table(spark, folder, "labels"))
+    return quality_model.judge(docs, model).select("doc_id", *[n for n, _ in quality_model.FIELDS])
+
+
 def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = license_scan.scan(table(spark, folder, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
@@ -73,6 +79,7 @@ QUERIES = {
     "op3_near_duplicates": op3_near_duplicates,
     "op5_url_filter": op5_url_filter,
     "op6_exact_dedup": op6_exact_dedup,
+    "op8_quality_rules": op8_quality_rules,
     "op9_license_scan": op9_license_scan,
     "op10_cost_packing": op10_cost_packing,
 }
