@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.llm import bpe, cost_packing, exact_dedup, hyperminhash, license_scan, quality_model, secrets, url_filter
-from panelcast.llm.common import table
+from panelcast.llm import binary_output, bpe, cost_packing, exact_dedup, html_text, hyperminhash, license_scan, quality_model, secrets, url_filter
+from panelcast.llm.common import scratch, table
 
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -43,6 +43,11 @@ def op3_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return hyperminhash.near_duplicates(table(spark, folder, "documents"), hyperminhash.Rule(width=4, least=80, of=100))
 
 
+def op4_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = html_text.extract(table(spark, folder, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     judged = url_filter.judge(table(spark, folder, "pages").select("page_id", "url"))
     return judged.select("page_id", "host", "path", "rule", "verdict")
@@ -52,6 +57,20 @@ def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(spark, f"{folder}/documents.parquet")
 
 
+def op7_packed_matrices(spark: SparkSession, folder: str) -> DataFrame:
+    packed = binary_output.matrices(table(spark, folder, "documents"), WORD_TOKENIZER, end_id=2)
+    rows = binary_output.write_matrices(packed, scratch(spark, "matrices"))
+    return rows.select(
+        "sequence_id",
+        "tokens",
+        "doc_ids",
+        "starts",
+        "cu_seqlens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("positions", 256).alias("positions_sha256"),
+    )
+
+
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     model = quality_model.train(docs, table(spark, folder, "labels"))
@@ -77,8 +96,10 @@ QUERIES = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op2_secret_scan": op2_secret_scan,
     "op3_near_duplicates": op3_near_duplicates,
+    "op4_html_text": op4_html_text,
     "op5_url_filter": op5_url_filter,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_packed_matrices": op7_packed_matrices,
     "op8_quality_rules": op8_quality_rules,
     "op9_license_scan": op9_license_scan,
     "op10_cost_packing": op10_cost_packing,
