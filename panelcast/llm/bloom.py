@@ -11,6 +11,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelcast.llm.common import written
+
 #: Two megabytes.
 MOST_BITS = 1 << 24
 
@@ -58,3 +60,15 @@ def holds(words: Column, key: Column, level: int, bits: int, hashes: int) -> Col
     for c in checks[1:]:
         both = both & c
     return both
+
+
+def without(df: DataFrame, dropped: DataFrame, key: str, rate: float = 0.01) -> DataFrame:
+    """The rows of ``df`` whose key is not among those of ``dropped``; rows with a null key stay.
+
+    Only rows that the filter can't rule out are shuffled to be compared with the keys themselves.
+    """
+    dropped = written(dropped.select(key).distinct(), "dropped")
+    bits, hashes = shape(dropped.count(), rate)
+    words = written(build(dropped, key, 0, bits, hashes), "filter").scalar()
+    maybe = F.coalesce(holds(words, F.col(key), 0, bits, hashes), F.lit(False))
+    return df.where(~maybe).union(df.where(maybe).join(dropped, key, "left_anti").select(df.columns))

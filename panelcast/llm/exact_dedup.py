@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +23,8 @@ from panelcast.llm.common import scratch, text_or_empty, written
 
 #: Share of false hits whose text is shuffled for nothing.
 FALSE_HITS = 0.01
+ARRIVED = "id long, file string, row long, digest string"
+ENTRIES = "digest string, owner bigint, locator struct<file: string, row: bigint>, held bigint"
 STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
@@ -81,39 +84,49 @@ def stream_entries(stream: DataFrame, state: str, out: str, available_now: bool
 def current(spark: SparkSession, out: str) -> DataFrame:
     """Entries as of the last batch: owners only fall and counts only grow."""
     try:
-        changed = spark.read.schema("digest string, owner bigint, locator struct<file: string, row: bigint>, held bigint").parquet(f"{out}/batch=*")
-    except Exception as missing:
-        if "PATH_NOT_FOUND" not in str(missing):
+        changed = spark.read.schema(ENTRIES).parquet(f"{out}/batch=*")
+    except AnalysisException as missing:  # no row ever arrived
+        if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], "digest string, owner bigint, locator struct<file: string, row: bigint>, held bigint")
+        return spark.createDataFrame([], ENTRIES)
     return changed.groupBy("digest").agg(
         F.min("owner").alias("owner"), F.min_by("locator", "owner").alias("locator"), F.max("held").alias("held")
     )
 
 
 class ExactDedup:
-    """One run over a Parquet table; ``digest`` may be another function of the text, as in tests."""
+    """One run over a Parquet table or a frame; ``digest`` may be another function of the text, as in tests."""
 
-    def __init__(self, spark: SparkSession, path: str, id_col: str = "doc_id", text: str = "text", digest=digest):
-        self.spark, self.path = spark, path
-        self.schema = spark.read.parquet(path).select(id_col, text).schema
+    def __init__(self, source: DataFrame, path: str | None = None, id_col: str = "doc_id", text: str = "text", digest=digest):
+        self.spark, self.source, self.path = source.sparkSession, source, path
         self.id_col, self.text, self.digest = id_col, text, digest
 
     def rows(self, source: DataFrame) -> DataFrame:
-        texts = source.select(
+        """id, text, file, row and digest; rows without an id are left out."""
+        try:
+            place = source.select("_metadata.file_path", "_metadata.row_index").schema and (F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+        except AnalysisException:  # a frame that was not read from files
+            place = (F.lit(None).cast("string"), F.lit(None).cast("long"))
+        texts = source.where(F.col(self.id_col).isNotNull()).select(
             F.col(self.id_col).cast("long").alias("id"),
             normal(text_or_empty(self.text)).alias("text"),
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.row_index").alias("row"),
+            place[0].alias("file"),
+            place[1].alias("row"),
         )
         return texts.withColumn("digest", self.digest(F.col("text")))
 
     def state(self) -> DataFrame:
-        place = self.path.rstrip("/")
-        # as a pattern, as a table may be one file, and a stream takes only folders or patterns
-        stream = self.spark.readStream.schema(self.schema).parquet(f"{place[:-1]}[{place[-1]}]")
         found = scratch(self.spark, "dedup")
-        stream_entries(self.rows(stream).drop("text"), f"{found}/state", f"{found}/entries")
+        if self.path is None:
+            # a frame arrives as one batch of digests
+            self.rows(self.source).drop("text").write.parquet(f"{found}/arrived")
+            stream = self.spark.readStream.schema(ARRIVED).parquet(f"{found}/arrived")
+        else:
+            place = self.path.rstrip("/")
+            # as a pattern, as a table may be one file, and a stream takes only folders or patterns
+            files = self.spark.readStream.schema(self.source.select(self.id_col, self.text).schema)
+            stream = self.rows(files.parquet(f"{place[:-1]}[{place[-1]}]")).drop("text")
+        stream_entries(stream, f"{found}/state", f"{found}/entries")
         return current(self.spark, f"{found}/entries")
 
     def groups(self) -> DataFrame:
@@ -122,7 +135,7 @@ class ExactDedup:
         bits, hashes = bloom.shape(owners.count(), FALSE_HITS)
         words = written(bloom.build(owners, "digest", 0, bits, hashes), "filter").scalar()
         # texts travel only where the digest may be a hit
-        all_rows = self.rows(self.spark.read.schema(self.schema).parquet(self.path))
+        all_rows = self.rows(self.source)
         hit = bloom.holds(words, F.col("digest"), 0, bits, hashes)
         rows = all_rows.select("id", "digest", F.when(hit, F.col("text")).alias("text"))
         located = rows.where("text IS NOT NULL").join(owners.select("digest", F.col("owner").alias("id")), ["digest", "id"])
@@ -142,14 +155,15 @@ class ExactDedup:
         return groups.join(sizes, "keep", "left").select("id", "keep", F.coalesce("size", F.lit(1).cast("long")).alias("size"), "digest")
 
 
-def exact_duplicates(spark: SparkSession, path: str, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of the Parquet table at ``path``: id, keep_id, group_size, kept and text_sha256.
+def exact_duplicates(source: DataFrame, path: str | None = None, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per row of ``source``: id, keep_id, group_size, kept and text_sha256.
 
-    Texts are equal when identical after each run of white space becomes one space; null counts as empty. The row
-    with the smallest id of equal texts stays. ``id_col`` holds distinct whole numbers. Other columns are ignored;
-    an empty table gives an empty result.
+    ``path`` is the Parquet table that ``source`` is, if it is one: it is then streamed as it lies, else its digests
+    are written first and streamed. Texts are equal when identical after each run of white space becomes one space;
+    null counts as empty. The row with the smallest id of equal texts stays. ``id_col`` holds distinct whole numbers;
+    rows without an id are left out. Other columns are ignored; an empty table gives an empty result.
     """
-    found = ExactDedup(spark, path, id_col, text).result()
+    found = ExactDedup(source, path, id_col, text).result()
     return found.select(
         F.col("id").alias(id_col),
         F.col("keep").alias("keep_id"),

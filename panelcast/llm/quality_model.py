@@ -17,7 +17,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelcast.llm.common import bounded_batches, raw, text_or_empty
@@ -231,13 +231,8 @@ def measured(text: bytes, model: Model) -> tuple:
     )
 
 
-def judge(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """Add the counts, base_failed, the probability of quality, and kept.
-
-    Null and empty texts have no words and fail. Columns of these names are replaced, others and repeated rows
-    stay; each text is judged alone, so ties and order do not matter; an empty table gives an empty result.
-    """
-    spark = df.sparkSession
+def verdict_column(spark: SparkSession, model: Model, text: str) -> Column:
+    """All fields of a text as a struct."""
     bounded_batches(spark)
     shared = spark.sparkContext.broadcast(model)  # a megabyte, fixed by SLOTS
 
@@ -249,5 +244,20 @@ def judge(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
         arrays = [pa.array(c, type=types[k]) for c, (_, k) in zip(columns, FIELDS)]
         return pa.StructArray.from_arrays(arrays, [n for n, _ in FIELDS])
 
-    found = df.withColumn("_quality", judged(text_or_empty(text)))
+    return judged(text_or_empty(text))
+
+
+def judge(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """Add the counts, base_failed, the probability of quality, and kept.
+
+    Null and empty texts have no words and fail. Columns of these names are replaced, others and repeated rows
+    stay; each text is judged alone, so ties and order do not matter; an empty table gives an empty result.
+    """
+    found = df.withColumn("_quality", verdict_column(df.sparkSession, model, text))
     return found.withColumns({n: F.col(f"_quality.{n}") for n, _ in FIELDS}).drop("_quality")
+
+
+def keep_good(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows that are kept, with the columns they had."""
+    found = df.withColumn("_quality", verdict_column(df.sparkSession, model, text))
+    return found.where("_quality.kept").drop("_quality")

@@ -54,7 +54,7 @@ def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return exact_dedup.exact_duplicates(spark, f"{folder}/documents.parquet")
+    return exact_dedup.exact_duplicates(table(spark, folder, "documents"), f"{folder}/documents.parquet")
 
 
 def op7_packed_matrices(spark: SparkSession, folder: str) -> DataFrame:
