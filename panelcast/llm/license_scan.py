@@ -51,6 +51,8 @@ TEMPLATES = (
 RARE_SHARE, RARE_LEAST = 0.6, 8
 #: Score from which a template counts as present.
 ENOUGH = 0.75
+#: A beginning needs a vote for so many words of its template.
+LEAST_VOTES = 6
 #: Words by which an edited copy may be shifted inside a template.
 SHIFT = 2
 SEPARATORS = bytes([b for b in range(0x80) if not (0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A)])
@@ -134,7 +136,7 @@ class Index:
         labels, best = set(), 0.0
         for (i, begin), votes in self.beginnings(places).items():
             t = self.templates[i]
-            if 3 * votes < len(t.words):
+            if votes * LEAST_VOTES < len(t.words):
                 continue
             score = self.score(i, begin, places)
             if score <= best and score < ENOUGH:

@@ -115,21 +115,14 @@ def spread_of_costs(rows):
     return np.std(costs) / np.mean(costs)
 
 
-def test_costs_are_closer_than_in_order():
+def test_costs_are_closer_than_by_best_fit():
     draw = random.Random(3)
     sizes = [min(3000, int(draw.lognormvariate(6, 1)) + 1) for _ in range(1500)]
-    spent, in_order, room = {}, [[]], 4096
+    spent = {}
     for _, _, n, into, _ in cost_packing.balanced(sizes):
         spent.setdefault(into, []).append(n)
-    for n in sizes:
-        while n:
-            part = min(n, room)
-            in_order[-1].append(part)
-            n, room = n - part, room - part
-            if not room:
-                in_order.append([])
-                room = 4096
-    assert spread_of_costs(spent.values()) < 0.7 * spread_of_costs(in_order)
+    by_room = [[n for _, _, n in row] for row in binary_output.best_fit(sizes, 4096)]
+    assert spread_of_costs(spent.values()) < 0.8 * spread_of_costs(by_room)
 
 
 def test_capacities_need_no_padding():

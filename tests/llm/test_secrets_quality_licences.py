@@ -153,7 +153,7 @@ PAGES = {
     "<script>var a='<p>x</p>'": "",
     "<form>name<input></form><div class='cookie-notice'>We use</div><main><p>Body</p></main><!-- open": "Body",
     "<article><header><h1>T</h1></header>x &lt;b&gt;</article>": "T x <b>",
-    "<div class='menu'><a href=x>Home</a></div><div>" + "<p>long words here</p>" * 20 + "<p>Hm.</p></div><div>(c) 2020</div>": "long words here " * 20 + "Hm.",
+    "<div class='menu'><a href=x>Home</a></div><div>" + "<p>long words here</p>" * 20 + "<p>Hm.</p></div><div class='site-footer'>(c) 2020</div>": "long words here " * 20 + "Hm.",
     "<div>" * 5000 + "deep" + "</div>" * 5000: "deep",
     "<a href=\"never closed><p>x</p>": "<a href=\"never closed> x",
 }
