@@ -11,6 +11,7 @@ from panelcast.catalog.tables import scratch
 from panelcast.functions.scalars import horizon_features
 from panelcast.functions.timecols import cyclic
 from panelcast.operators import modelling as ml
+from panelcast.operators import recursive
 from panelcast.operators import splits as sp
 from panelcast.operators.windows import lag_exact
 from panelcast.plans import panels as pn
@@ -194,7 +195,7 @@ COEFFICIENTS = {"demand_lag_1h": 0.5, "demand_change_1h": 0.3, "demand_lag_24h":
 def _(t):
     panel = pn.hourly_panel(t.events)
     targets = panel.select("zone", F.col("datetime").alias("target_datetime"), F.col("temperature_c").alias("temperature"))
-    return ml.score_recursive(COEFFICIENTS, 10.0, panel, targets, REF)
+    return recursive.score_recursive(COEFFICIENTS, 10.0, panel, targets, REF)
 
 
 @check(

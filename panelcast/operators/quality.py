@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from functools import reduce
-from operator import and_, or_
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -92,15 +92,9 @@ def gap_count(df: DataFrame, key, ts: str, step: int = HOUR) -> DataFrame:
 
 def validity_flags(df: DataFrame, essential: Iterable[str], target: str) -> DataFrame:
     """0/1 flags: essential features present, target present, both."""
-    features = reduce(and_, (F.col(c).isNotNull() for c in essential), F.lit(True))
-    has_target = F.col(target).isNotNull()
-    return df.withColumns(
-        {
-            "has_valid_features": features.cast("int"),
-            "has_valid_target": has_target.cast("int"),
-            "is_training_row": (features & has_target).cast("int"),
-        }
-    )
+    holes = F.size(F.array_compact(F.array(F.lit(None).cast("int"), *[F.when(F.isnull(c), 1) for c in essential])))
+    flagged = df.withColumns({"has_valid_features": F.when(holes > 0, 0).otherwise(1), "has_valid_target": F.nvl2(F.col(target), F.lit(1), F.lit(0))})
+    return flagged.withColumn("is_training_row", F.least("has_valid_features", "has_valid_target"))
 
 
 def overlap_report(a: DataFrame, b: DataFrame, key: str, ts: str) -> DataFrame:
