@@ -26,10 +26,10 @@ from panelcast.llm.common import bounded_batches, raw, text_or_empty
 SLOTS_BITS, KINDS = 16, 4
 SLOTS = 1 << SLOTS_BITS
 #: Labelled rows that reach the driver, at most.
-SAMPLE_ROWS = 4000
+SAMPLE_ROWS = 2000
 HELD_OUT = 5
-#: Gradient steps, their size, and the weight of the penalty on large weights.
-STEPS, RATE, PENALTY = 150, 0.5, 1e-6
+#: Passes over the sample, rows of a step, step size, and the weight of the penalty on large weights.
+PASSES, STEP_ROWS, RATE, PENALTY = 8, 64, 0.5, 1e-6
 #: Texts less likely to be of quality than this are rejected.
 LEAST_PROBABILITY = 0.25
 #: Fixed rules: least words, and the largest share of repeated words in percent.
@@ -121,19 +121,40 @@ class Model:
         return float(1.0 / (1.0 + np.exp(-np.clip(self.slope * score + self.shift, -40, 40))))
 
 
-def _rows(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, column and value of the averaged n-grams."""
-    rows, columns, values = [], [], []
-    for i, text in enumerate(texts):
-        for kind, slots in enumerate(grams(text, word_hashes(text.split()))):
-            if len(slots):
+@dataclass(frozen=True)
+class Averages:
+    """Averaged n-grams of texts: columns and values, text after text, and where each text begins."""
+
+    columns: np.ndarray
+    values: np.ndarray
+    begins: np.ndarray
+
+    @staticmethod
+    def of(texts: list[bytes]) -> Averages:
+        columns, values, begins = [np.empty(0, np.int32)], [np.empty(0, np.float32)], [0]
+        for text in texts:
+            n = 0
+            for kind, slots in enumerate(grams(text, word_hashes(text.split()))):
                 there, count = np.unique(slots, return_counts=True)
-                rows.append(np.full(len(there), i, dtype=np.int64))
-                columns.append(there.astype(np.int64) + kind * SLOTS)
-                values.append(count / len(slots))
-    if not rows:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
-    return np.concatenate(rows), np.concatenate(columns), np.concatenate(values)
+                columns.append(there + np.int32(kind * SLOTS))
+                values.append((count / max(1, len(slots))).astype(np.float32))
+                n += len(there)
+            begins.append(begins[-1] + n)
+        return Averages(np.concatenate(columns), np.concatenate(values), np.array(begins))
+
+    def rows(self, first: int, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row (from 0), column and value of the texts from ``first`` to before ``end``."""
+        a, b = self.begins[first], self.begins[end]
+        row = np.repeat(np.arange(end - first), np.diff(self.begins[first : end + 1]))
+        return row, self.columns[a:b], self.values[a:b]
+
+    def scores(self, weights: np.ndarray, bias: float) -> np.ndarray:
+        out = np.empty(len(self.begins) - 1)
+        for first in range(0, len(out), STEP_ROWS):
+            end = min(first + STEP_ROWS, len(out))
+            row, column, value = self.rows(first, end)
+            out[first:end] = np.bincount(row, value * weights[column], minlength=end - first) + bias
+        return out
 
 
 def _logistic(z: np.ndarray) -> np.ndarray:
@@ -146,23 +167,24 @@ def fit(texts: list[bytes], labels: np.ndarray) -> Model:
     if n < 2 * HELD_OUT or labels.min() == labels.max():
         return Model(np.zeros((KINDS, SLOTS), dtype=np.float32), 0.0, 0.0, 40.0)
     held = np.arange(n) % HELD_OUT == 0
-    rows, columns, values = _rows(texts)
-    use = ~held[rows]
-    tr, tc, tv = rows[use], columns[use], values[use]
+    learnt, known = Averages.of([t for t, h in zip(texts, held) if not h]), labels[~held]
     # both labels weigh the same, however rare one is
-    share = np.where(labels > 0, 0.5 / max(1, (labels[~held] > 0).sum()), 0.5 / max(1, (labels[~held] == 0).sum())) * ~held
+    share = np.where(known > 0, 0.5 / max(1, (known > 0).sum()), 0.5 / max(1, (known == 0).sum())) * len(known) / STEP_ROWS
     weights, bias = np.zeros(size), 0.0
     seen, seen_bias = np.full(size, 1e-8), 1e-8
-    for _ in range(STEPS):
-        z = np.bincount(tr, tv * weights[tc], minlength=n) + bias
-        gap = (_logistic(z) - labels) * share
-        slope = np.bincount(tc, tv * gap[tr], minlength=size) + PENALTY * weights
-        seen += slope * slope
-        seen_bias += gap.sum() ** 2
-        weights -= RATE * slope / np.sqrt(seen)
-        bias -= RATE * gap.sum() / np.sqrt(seen_bias)
-    z = np.bincount(rows, values * weights[columns], minlength=n) + bias
-    slope, shift = _calibrated(z[held], labels[held])
+    for _ in range(PASSES):
+        for first in range(0, len(known), STEP_ROWS):
+            end = min(first + STEP_ROWS, len(known))
+            row, column, value = learnt.rows(first, end)
+            z = np.bincount(row, value * weights[column], minlength=end - first) + bias
+            gap = (_logistic(z) - known[first:end]) * share[first:end]
+            slope = np.bincount(column, value * gap[row], minlength=size) + PENALTY * weights
+            seen += slope * slope
+            seen_bias += gap.sum() ** 2
+            weights -= RATE * slope / np.sqrt(seen)
+            bias -= RATE * gap.sum() / np.sqrt(seen_bias)
+    z = Averages.of([t for t, h in zip(texts, held) if h]).scores(weights, bias)
+    slope, shift = _calibrated(z, labels[held])
     return Model(weights.reshape(KINDS, SLOTS).astype(np.float32), float(bias), slope, shift)
 
 
