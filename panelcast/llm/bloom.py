@@ -62,13 +62,24 @@ def holds(words: Column, key: Column, level: int, bits: int, hashes: int) -> Col
     return both
 
 
+def _marked(df: DataFrame, keys: DataFrame, key: str, rate: float) -> tuple[DataFrame, Column]:
+    """The distinct keys as a table, and whether a row of ``df`` may have one of them."""
+    keys = written(keys.select(key).distinct(), "keys")
+    bits, hashes = shape(keys.count(), rate)
+    words = written(build(keys, key, 0, bits, hashes), "filter").scalar()
+    return keys, F.coalesce(holds(words, F.col(key), 0, bits, hashes), F.lit(False))
+
+
 def without(df: DataFrame, dropped: DataFrame, key: str, rate: float = 0.01) -> DataFrame:
     """The rows of ``df`` whose key is not among those of ``dropped``; rows with a null key stay.
 
     Only rows that the filter can't rule out are shuffled to be compared with the keys themselves.
     """
-    dropped = written(dropped.select(key).distinct(), "dropped")
-    bits, hashes = shape(dropped.count(), rate)
-    words = written(build(dropped, key, 0, bits, hashes), "filter").scalar()
-    maybe = F.coalesce(holds(words, F.col(key), 0, bits, hashes), F.lit(False))
+    dropped, maybe = _marked(df, dropped, key, rate)
     return df.where(~maybe).union(df.where(maybe).join(dropped, key, "left_anti").select(df.columns))
+
+
+def only(df: DataFrame, wanted: DataFrame, key: str, rate: float = 0.01) -> DataFrame:
+    """The rows of ``df`` whose key is among those of ``wanted``; what the filter rules out is not shuffled."""
+    wanted, maybe = _marked(df, wanted, key, rate)
+    return df.where(maybe).join(wanted, key, "left_semi").select(df.columns)

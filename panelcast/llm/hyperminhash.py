@@ -8,9 +8,10 @@ small they are.
 
 Five registers make a band; equal bands make texts candidates. At a similarity of 0.8 the 51 bands miss a
 pair with a chance of 2e-9. Texts with equal sets are one class from the start. Within a bucket no pairs are
-listed: every class is compared with the least of the bucket, components are formed, and only where a bucket
-still holds several components are its outsiders compared with the others in it. Links inside a component
-change nothing, so none is lost.
+listed: every class is compared with the least of the bucket, and components are formed. Links inside a component
+change nothing more. Where a bucket still holds several components, any two of its classes may be similar; these
+classes are joined on their rarest shingles, of which similar sets of such sizes must share one, across
+components only. So no link is lost, and a large group of not quite similar texts is not compared pair by pair.
 
 Candidates must pass an estimate from all registers, corrected for registers that agree by chance, with a
 margin of eight standard errors below the threshold; the rest are confirmed by the intersection of both sets.
@@ -26,6 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelcast.llm import bloom
 from panelcast.llm.common import bounded_batches, raw, text_or_empty, written
 from panelcast.llm.components import components
 
@@ -48,6 +50,13 @@ class Rule:
     least: int = 80
     of: int = 100
 
+    def sizes(self, n: str, m: str) -> Column:
+        """Whether sets of these sizes can be similar enough."""
+        return self.of * F.least(n, m) >= self.least * F.greatest(n, m)
+
+    def reached(self, common: Column, n: Column, m: Column) -> Column:
+        return self.of * common >= self.least * (n + m - common)
+
 
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit."""
@@ -191,37 +200,70 @@ class NearDuplicates:
         shared = banded.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("held")).where("held > 1")
         return banded.join(shared.select("key", "hub"), "key")
 
-    def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """Of the pairs (u, v), those that reach the threshold."""
+    def sets(self, wanted: DataFrame) -> DataFrame:
+        """(id, set) of the classes whose ids are wanted."""
+        texts = bloom.only(self.docs, wanted, "id").dropDuplicates(["id"])
+        return written(texts.select("id", set_column(F.col("text"), self.rule).alias("set")), "sets")
+
+    def likely(self, pairs: DataFrame) -> DataFrame:
+        """Of the pairs (u, v), those of fitting sizes whose registers don't rule them out."""
         rule, classes = self.rule, self.classes
         one = classes.select(F.col("id").alias("u"), F.col("n").alias("n"), F.col("registers").alias("a"))
         two = classes.select(F.col("id").alias("v"), F.col("n").alias("m"), F.col("registers").alias("b"))
-        sized = pairs.join(one, "u").join(two, "v")
-        fits = rule.of * F.least("n", "m") >= rule.least * F.greatest("n", "m")
+        sized = pairs.join(one, "u").join(two, "v").where(rule.sizes("n", "m"))
         guess = estimate_column(F.col("a"), F.col("b"), F.col("n"), F.col("m"))
-        likely = sized.where(fits).withColumn("guess", guess).where(F.col("guess") >= rule.least / rule.of - MARGIN)
-        likely = written(likely.select("u", "v"), "likely")
-        wanted = likely.select(F.col("u").alias("id")).union(likely.select("v")).distinct()
-        sets = written(self.docs.join(wanted, "id", "left_semi").select("id", set_column(F.col("text"), rule).alias("set")).dropDuplicates(["id"]), "sets")
+        return written(sized.withColumn("guess", guess).where(F.col("guess") >= rule.least / rule.of - MARGIN).select("u", "v"), "likely")
+
+    def confirmed(self, likely: DataFrame, sets: DataFrame) -> DataFrame:
+        """Of the pairs (u, v), those whose full sets reach the threshold."""
         both = likely.join(sets.select(F.col("id").alias("u"), F.col("set").alias("a")), "u")
         both = both.join(sets.select(F.col("id").alias("v"), F.col("set").alias("b")), "v")
         common = F.size(F.array_intersect("a", "b")).cast("long")
-        met = rule.of * common >= rule.least * (F.size("a") + F.size("b") - common)
+        met = self.rule.reached(common, F.size("a"), F.size("b"))
         return written(both.where(met).select("u", "v"), "links")
 
+    def rarest(self, sets: DataFrame) -> DataFrame:
+        """(id, t, n, at, short): the first shingles of each set, rarest first, with their places.
+
+        A set of n and one no larger of m share n * least / of shingles at least, and both one of the rest plus
+        one; of the smaller set the ``short`` ones suffice, as it must share 2 * least / (of + least) of its own.
+        """
+        rule = self.rule
+        each = sets.select("id", F.explode("set").alias("t"))
+        held = each.groupBy("t").agg(F.count("*").alias("held"))
+        listed = each.join(held, "t").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("held", "t"))).alias("s"))
+        n = F.size("s").cast("long")
+        first = F.expr(f"CAST(size(s) - (size(s) * {rule.least}L + {rule.of - 1}) DIV {rule.of} + 1 AS INT)")
+        short = F.expr(f"size(s) - (2L * {rule.least} * size(s) + {rule.of + rule.least - 1}) DIV {rule.of + rule.least} + 1")
+        cut = listed.select("id", n.alias("n"), short.alias("few"), F.posexplode(F.slice("s", F.lit(1), first)).alias("at", "x"))
+        return cut.select("id", F.col("x.t").alias("t"), "n", "at", (F.col("at") < F.col("few")).alias("short"))
+
+    def across(self, placed: DataFrame) -> DataFrame:
+        """Pairs (u, v) of different components that may be similar, among classes (id, component)."""
+        rule = self.rule
+        firsts = self.rarest(self.sets(placed.select("id"))).join(placed, "id")
+        spread = firsts.groupBy("t").agg(F.min("component").alias("main"), F.max("component").alias("other")).where("main <> other")
+        firsts = written(firsts.join(spread.select("t", "main"), "t"), "firsts")
+        x, y = firsts.where("component <> main").alias("x"), firsts.alias("y")
+        smaller = F.when(F.struct("x.n", "x.id") < F.struct("y.n", "y.id"), F.col("x.short")).otherwise(F.col("y.short"))
+        rest = 1 + F.least(F.col("x.n") - F.col("x.at") - 1, F.col("y.n") - F.col("y.at") - 1)
+        fits = (F.col("x.component") != F.col("y.component")) & smaller & rule.sizes("x.n", "y.n")
+        pairs = x.join(y, (F.col("x.t") == F.col("y.t")) & fits & rule.reached(rest, F.col("x.n"), F.col("y.n")))
+        return pairs.select(F.least("x.id", "y.id").alias("u"), F.greatest("x.id", "y.id").alias("v")).distinct()
+
     def labels(self) -> DataFrame:
         """(id, component) of the classes that have a link."""
         buckets = written(self.buckets(), "buckets")
         stars = written(buckets.where("id <> hub").select(F.col("hub").alias("u"), F.col("id").alias("v")).distinct(), "stars")
-        links = self.confirmed(stars)
+        likely = self.likely(stars)
+        links = self.confirmed(likely, self.sets(likely.select(F.col("u").alias("id")).union(likely.select("v"))))
         first = written(components(links).select(F.col("node").alias("id"), "component"), "labels")
         placed = buckets.join(first, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
         spread = placed.groupBy("key").agg(F.min("component").alias("main"), F.max("component").alias("other")).where("main <> other")
-        placed = written(placed.join(spread.select("key", "main"), "key"), "placed")
-        outside = placed.where("component <> main").select("key", F.col("id").alias("x"), F.col("component").alias("c"))
-        pairs = outside.join(placed, "key").where("c <> component")
-        pairs = pairs.select(F.least("x", "id").alias("u"), F.greatest("x", "id").alias("v")).distinct()
-        more = self.confirmed(pairs.join(stars, ["u", "v"], "left_anti"))
+        placed = written(placed.join(spread.select("key"), "key", "left_semi").select("id", "component").distinct(), "placed")
+        pairs = written(self.across(placed).join(stars, ["u", "v"], "left_anti"), "across")
+        likely = self.likely(pairs)
+        more = self.confirmed(likely, self.sets(likely.select(F.col("u").alias("id")).union(likely.select("v"))))
         final = components(links.union(more))
         return final.select(F.col("node").alias("id"), "component")
 
