@@ -121,6 +121,8 @@ P_INTERVAL = """p_interval AS (
   FROM events GROUP BY ALL
 )"""
 
+P_DENSE = P_INTERVAL.replace("CAST(ts AS DATE)", "CAST(date_trunc('month', ts) AS DATE)")
+
 ZONE_NAMES = [zone for zone, *_ in EVENT_ZONES]
 P_WIDE = (
     P_HOUR
@@ -149,7 +151,7 @@ P_DUP = (
 )"""
 )
 
-P_FORECAST = (
+P_TARGETS = (
     P_HOUR
     + """, p_targets AS (
   SELECT a.zone, a.datetime AS target_datetime, a.demand_mw AS target_demand_mw,
@@ -157,10 +159,18 @@ P_FORECAST = (
   FROM p_hour a
   LEFT JOIN p_hour b ON b.zone = a.zone AND b.datetime = a.datetime - INTERVAL 24 HOUR
   LEFT JOIN p_hour c ON c.zone = a.zone AND c.datetime = a.datetime - INTERVAL 168 HOUR
-), p_forecast AS (
-  SELECT t.*, CAST(h AS INTEGER) AS forecast_horizon_hours,
-         target_datetime - to_hours(CAST(h AS BIGINT)) AS issue_datetime
-  FROM p_targets t, (SELECT unnest(range(1, 25)) AS h)
+)"""
+)
+
+P_FORECAST = (
+    P_HOUR
+    + """, p_forecast AS (
+  SELECT a.zone, a.datetime AS target_datetime, a.demand_mw AS target_demand_mw, b.demand_mw AS prediction_mw,
+         c.demand_mw AS lag_168_mw, CAST(h AS INTEGER) AS forecast_horizon_hours,
+         a.datetime - to_hours(CAST(h AS BIGINT)) AS issue_datetime
+  FROM (SELECT *, unnest(range(1, 169)) AS h FROM p_hour) a
+  LEFT JOIN p_hour b ON b.zone = a.zone AND b.datetime = a.datetime - to_hours(CAST(ceil(h / 24) AS BIGINT) * 24)
+  LEFT JOIN p_hour c ON c.zone = a.zone AND c.datetime = a.datetime - INTERVAL 168 HOUR
 )"""
 )
 

@@ -246,7 +246,7 @@ def _(t):
     named = cal.named_holidays(spine, "calendar_date").filter("is_holiday = 1")
     table = named.select(F.col("calendar_date").alias("date"), "holiday_name")
     rows = t.orders.select("o_orderkey", "o_orderdate")
-    return cal.add_holiday_features(rows, table, "o_orderdate", bound=(years[1] - years[0] + 3) * len(NAMED_RULES))
+    return cal.add_holiday_features(rows, table, "o_orderdate")
 
 
 @check(

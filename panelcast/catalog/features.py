@@ -148,12 +148,12 @@ _HORIZON = ", ".join(f"{c} {'i' if c in ('forecast_day', 'forecast_hour_in_day')
         P_HOUR,
         f"""SELECT zone, datetime AS issue_datetime, datetime + to_hours(h) AS target_datetime,
                    h AS forecast_horizon_hours, {_horizon_sql('h')}
-            FROM p_hour, (SELECT unnest(range(1, 49)) AS h)""",
+            FROM p_hour, (SELECT unnest(range(1, 169)) AS h)""",
     ),
 )
 def _(t):
     panel = pn.hourly_panel(t.events).select("zone", F.col("datetime").alias("issue_datetime"))
-    return expand_horizons(panel, "issue_datetime", 1, 48).withColumns(sc.horizon_features())
+    return expand_horizons(panel, "issue_datetime", 1, 168).withColumns(sc.horizon_features())
 
 
 @check(
@@ -165,13 +165,13 @@ def _(t):
              avg(abs(prediction_mw - target_demand_mw)) AS mae,
              avg(CASE WHEN abs(target_demand_mw) > 1e-6
                  THEN abs(prediction_mw - target_demand_mw) / abs(target_demand_mw) * 100 END) AS mape
-           FROM p_forecast WHERE prediction_mw IS NOT NULL AND hour(issue_datetime) < forecast_horizon_hours GROUP BY 1)
+           FROM p_forecast WHERE prediction_mw IS NOT NULL GROUP BY 1)
            SELECT forecast_horizon_hours, (mape - min(mape) OVER ()) / nullif(max(mape) OVER () - min(mape) OVER (), 0) AS mape_norm,
                   (mae - min(mae) OVER ()) / nullif(max(mae) OVER () - min(mae) OVER (), 0) AS mae_norm FROM m""",
     ),
 )
 def _(t):
-    rows = pn.forecast_panel(t.events).filter(F.hour("issue_datetime") < F.col("forecast_horizon_hours"))
+    rows = pn.forecast_panel(t.events)
     found = metrics(rows, "target_demand_mw", "prediction_mw", "forecast_horizon_hours")
     return ev.minmax(found, ["mape", "mae"])
 
@@ -388,9 +388,27 @@ def gold_7d_sql(hi: int) -> str:
 GOLD_7D = [*gold.METADATA, *gold.FEATURES_7D, *gold.FLAGS, "demand_mw", "target_demand_mw"]
 
 
-@check("gold_features_week_ahead", gold_columns(GOLD_7D), gold_7d_sql(24))
+# the table has 168 rows per hour and zone: every column of all of them is compared by its mean and count
+WEEK_NUMBERS = [name for name, kind in gold_columns(GOLD_7D) if kind[0] in "id" and kind != "date" and name != "forecast_horizon_hours"]
+
+
+@check(
+    "gold_features_week_ahead",
+    "zone s, forecast_horizon_hours i, rows i, first_issue t, last_target t, "
+    + ", ".join(f"{c} d, n_{c} i" for c in WEEK_NUMBERS),
+    "SELECT zone, forecast_horizon_hours, count(*) AS rows, min(issue_datetime) AS first_issue, max(target_datetime) AS last_target, "
+    + ", ".join(f"avg({c}) AS {c}, count({c}) AS n_{c}" for c in WEEK_NUMBERS)
+    + f" FROM ({gold_7d_sql(168)}) AS week GROUP BY 1, 2",
+)
 def _(t):
-    return gold.features_7d(pn.hourly_panel(t.events), hi=24, years=cal.year_bounds(t.events, "ts"))
+    week = gold.features_7d(pn.hourly_panel(t.events), years=cal.year_bounds(t.events, "ts"))
+    each = [f(c).alias(n) for c in WEEK_NUMBERS for f, n in ((F.avg, c), (F.count, f"n_{c}"))]
+    return week.groupBy("zone", "forecast_horizon_hours").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.min("issue_datetime").alias("first_issue"),
+        F.max("target_datetime").alias("last_target"),
+        *each,
+    )
 
 
 @check(

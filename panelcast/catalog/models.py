@@ -57,7 +57,7 @@ def _trees(t):
     rows = _wide_rows(t)
     typed = ml.prepare_types(rows, INPUTS, Y)
     past = typed.filter(F.col("target_datetime") < F.lit(CUT))
-    return ml.fit_point(past, INPUTS, Y, "gbt", maxIter=4, maxDepth=3), typed
+    return ml.fit_point(past, INPUTS, Y, "gbt"), typed
 
 
 @check("boosted_forecast", "zone s, issue_datetime t, forecast_horizon_hours i, prediction_mw d")

@@ -11,6 +11,7 @@ from panelcast.catalog.base import (
     P_FORECAST,
     P_HOUR,
     P_INTERVAL,
+    P_TOTALS,
     P_WIDE,
     check,
     with_sql,
@@ -176,7 +177,7 @@ def _(t):
     return q.history_depth(pn.hourly_panel(t.events), "zone", "datetime", "temperature_c", need=720)
 
 
-_COMPLETE = """, kept AS (SELECT * FROM p_forecast WHERE prediction_mw IS NOT NULL),
+_COMPLETE = """, kept AS (SELECT * FROM p_totals WHERE prediction_mw IS NOT NULL),
 span AS (SELECT issue_datetime, zone, count(DISTINCT forecast_horizon_hours) AS n,
                 min(forecast_horizon_hours) AS lo, max(forecast_horizon_hours) AS hi FROM kept GROUP BY 1, 2)"""
 
@@ -185,26 +186,26 @@ span AS (SELECT issue_datetime, zone, count(DISTINCT forecast_horizon_hours) AS
     "complete_horizons",
     "zone s, issue_datetime t, forecast_horizon_hours i, target_demand_mw d",
     with_sql(
-        P_FORECAST + _COMPLETE,
+        P_TOTALS + _COMPLETE,
         """SELECT zone, issue_datetime, forecast_horizon_hours, target_demand_mw FROM kept
-           WHERE (issue_datetime, zone) IN (SELECT (issue_datetime, zone) FROM span WHERE n = 24 AND lo = 1 AND hi = 24)""",
+           WHERE (issue_datetime, zone) IN (SELECT (issue_datetime, zone) FROM span WHERE n = 168 AND lo = 1 AND hi = 168)""",
     ),
 )
 def _(t):
-    return q.complete_horizons(pn.forecast_panel(t.events).dropna(subset=["prediction_mw"]), 1, 24)
+    return q.complete_horizons(pn.totals_with_zones(pn.forecast_panel(t.events)).dropna(subset=["prediction_mw"]), 1, 168)
 
 
 @check(
     "coverage_rate",
     "issues i, complete_issues i, coverage_rate d",
     with_sql(
-        P_FORECAST + _COMPLETE,
+        P_TOTALS + _COMPLETE,
         """SELECT count(*) AS issues, sum(c) AS complete_issues, avg(c) AS coverage_rate
-           FROM (SELECT CASE WHEN n = 24 AND lo = 1 AND hi = 24 THEN 1 ELSE 0 END AS c FROM span)""",
+           FROM (SELECT CASE WHEN n = 168 AND lo = 1 AND hi = 168 THEN 1 ELSE 0 END AS c FROM span)""",
     ),
 )
 def _(t):
-    return q.coverage_rate(pn.forecast_panel(t.events).dropna(subset=["prediction_mw"]), 1, 24)
+    return q.coverage_rate(pn.totals_with_zones(pn.forecast_panel(t.events)).dropna(subset=["prediction_mw"]), 1, 168)
 
 
 _BOUNDS = {"temperature_c": (-10.0, 25.0), "relative_humidity_pct": (0.0, 70.0), "wind_speed_kmh": (0.0, 150.0)}

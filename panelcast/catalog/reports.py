@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from panelcast.catalog.base import P_FORECAST, P_PROD, check, with_sql
+from panelcast.catalog.base import P_PROD, P_TARGETS, check, with_sql
 from panelcast.operators.modelling import contributions
 from panelcast.plans import dashboards as db
 from panelcast.plans import panels as pn
@@ -121,8 +121,8 @@ def _(t):
 COEFFICIENTS = {"prediction_mw": 0.6, "lag_168_mw": 0.3}
 INTERCEPT = 12.5
 CONTRIB = (
-    P_FORECAST
-    + """, one AS (SELECT zone, target_datetime, prediction_mw, lag_168_mw FROM p_forecast WHERE forecast_horizon_hours = 24),
+    P_TARGETS
+    + """, one AS (SELECT zone, target_datetime, prediction_mw, lag_168_mw FROM p_targets),
 means AS (SELECT avg(prediction_mw) AS m1, avg(lag_168_mw) AS m2 FROM one),
 contrib AS (
   SELECT zone, target_datetime, 'prediction_mw' AS feature_name,
@@ -136,7 +136,7 @@ predicted AS (SELECT zone, target_datetime, prediction_mw AS predicted_demand_mw
 
 
 def explained(t):
-    one = pn.forecast_panel(t.events).filter("forecast_horizon_hours = 24")
+    one = pn.target_panel(t.events)
     forecast = one.select("zone", "target_datetime", F.col("prediction_mw").alias("predicted_demand_mw"))
     return forecast, contributions(one, COEFFICIENTS, INTERCEPT)
 

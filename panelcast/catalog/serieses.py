@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from panelcast.catalog.base import P_HOUR, P_INTERVAL, check, with_sql
+from panelcast.catalog.base import P_DENSE, P_HOUR, check, with_sql
 from panelcast.functions.timecols import hour_start
 from panelcast.operators import series as sr
 from panelcast.operators import windows as wn
@@ -209,16 +209,16 @@ def _(t):
     "rollup_complete_hours",
     "zone s, datetime t, demand_mw d, interval_count i, demand_min_mw d, demand_max_mw d, last_interval i",
     with_sql(
-        P_INTERVAL,
+        P_DENSE,
         """SELECT zone, CAST(date AS TIMESTAMP) + to_hours(CAST(hour - 1 AS BIGINT)) AS datetime,
                   avg(demand_mw) AS demand_mw, count(DISTINCT "interval") AS interval_count,
                   min(demand_mw) AS demand_min_mw, max(demand_mw) AS demand_max_mw, max("interval") AS last_interval
-           FROM p_interval GROUP BY 1, 2 HAVING count(DISTINCT "interval") >= 4""",
+           FROM p_interval GROUP BY 1, 2 HAVING count(DISTINCT "interval") >= 12""",
     ),
 )
 def _(t):
-    rows = pn.interval_panel(t.events).withColumn("datetime", hour_start("date", "hour"))
-    return sr.rollup_complete_hours(rows, "zone", "datetime", "interval", "demand_mw", need=4)
+    rows = pn.dense_interval_panel(t.events).withColumn("datetime", hour_start("date", "hour"))
+    return sr.rollup_complete_hours(rows, "zone", "datetime", "interval", "demand_mw")
 
 
 @check(

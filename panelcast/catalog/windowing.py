@@ -11,7 +11,8 @@ from panelcast.operators import windows as wn
 from panelcast.plans import panels as pn
 
 W = "(PARTITION BY zone ORDER BY datetime)"
-LAGS = [1, 3, 6, 24]
+LAGS = [1, 2, 3, 6, 12, 24, 48, 72, 144, 168, 336]
+SIZES = (3, 6, 12, 24, 48, 72, 168)
 
 
 def _frame(n: int, current: bool) -> str:
@@ -83,32 +84,32 @@ def _rolling(y: str, stem: str, sizes, funcs, current: bool) -> str:
 
 @check(
     "rolling_past",
-    _hours([f"demand_rolling_{f}_{n}h" for n in (3, 24, 168) for f in ("mean", "min", "max", "std")]),
+    _hours([f"demand_rolling_{f}_{n}h" for n in SIZES for f in ("mean", "min", "max", "std")]),
     with_sql(
         P_HOUR,
         "SELECT zone, datetime, "
-        + _rolling("demand_mw", "demand_rolling", (3, 24, 168), ("mean", "min", "max", "std"), False)
+        + _rolling("demand_mw", "demand_rolling", SIZES, ("mean", "min", "max", "std"), False)
         + " FROM p_hour",
     ),
 )
 def _(t):
     funcs = ("mean", "min", "max", "std")
-    return wn.rolling_past(pn.hourly_panel(t.events), "zone", "datetime", "demand_mw", [3, 24, 168], funcs)
+    return wn.rolling_past(pn.hourly_panel(t.events), "zone", "datetime", "demand_mw", list(SIZES), funcs)
 
 
 @check(
     "rolling_trailing",
-    _hours([f"temperature_rolling_{f}_{n}h" for n in (3, 24, 168) for f in ("mean", "min", "max", "std")]),
+    _hours([f"temperature_rolling_{f}_{n}h" for n in SIZES for f in ("mean", "min", "max", "std")]),
     with_sql(
         P_HOUR,
         "SELECT zone, datetime, "
-        + _rolling("temperature_c", "temperature_rolling", (3, 24, 168), ("mean", "min", "max", "std"), True)
+        + _rolling("temperature_c", "temperature_rolling", SIZES, ("mean", "min", "max", "std"), True)
         + " FROM p_hour",
     ),
 )
 def _(t):
     funcs = ("mean", "min", "max", "std")
-    return wn.rolling_trailing(pn.hourly_panel(t.events), "zone", "datetime", "temperature_c", [3, 24, 168], funcs)
+    return wn.rolling_trailing(pn.hourly_panel(t.events), "zone", "datetime", "temperature_c", list(SIZES), funcs)
 
 
 @check(

@@ -46,9 +46,9 @@ def with_calendar(
 ) -> DataFrame:
     """Holiday flags of a date column, and whatever ``extra`` derives from the date.
 
-    With known, few years both come from a broadcast date dimension, worked out once per day
-    instead of once per row; the years must cover the dates, give or take one year. Without years
-    each row computes them, which needs no join at all.
+    With known, few years both come from a date dimension, worked out once per day instead of once
+    per row; dates outside of them are worked out in their rows. Without years every row computes
+    them, which needs no join at all.
     """
     more = extra or (lambda _: {})
     if years and years[1] - years[0] < SPINE_YEARS:
@@ -56,8 +56,11 @@ def with_calendar(
         flags = [c for c in days.columns if c != "calendar_date"]
         dimension = days.withColumns(more("calendar_date")) if extra else days
         dimension = dimension.withColumnRenamed("calendar_date", date_col)
-        joined = lookup(df, dimension, date_col, bound=_bound(years))
-        return joined.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in flags})
+        joined = lookup(df, dimension.withColumn("_known", F.lit(1)), date_col)
+        # a date outside the years is worked out in its row
+        own = {**H.calendar_flags(date_col), **more(date_col)}
+        filled = {c: F.when(F.col("_known").isNull(), own[c]).otherwise(F.col(c)) for c in [*flags, *more("calendar_date")]}
+        return joined.withColumns(filled).drop("_known")
     return df.withColumns({**H.calendar_flags(date_col), **more(date_col)})
 
 
@@ -96,14 +99,10 @@ def _years(spark: SparkSession, years: tuple[int, int]) -> DataFrame:
     return spark.range(1, numPartitions=1).select(F.explode(span).alias("year"))
 
 
-def _bound(years: tuple[int, int]) -> int:
-    return (years[1] - years[0] + 3) * 366
-
-
 def school_breaks(df: DataFrame, date_col: str, years: tuple[int, int]) -> DataFrame:
     """School-break flag and name of a date: the ranges are unrolled to days and equi-joined."""
     days = school_break_days(_years(df.sparkSession, years))
-    joined = lookup(df, days.withColumnRenamed("calendar_date", date_col), date_col, _bound(years))
+    joined = lookup(df, days.withColumnRenamed("calendar_date", date_col), date_col)
     return joined.withColumn("is_school_break", F.col("school_break_name").isNotNull().cast("int"))
 
 
@@ -174,15 +173,15 @@ def holiday_distances(spark: SparkSession, years: tuple[int, int], pad: int = 0)
 def holiday_distance(df: DataFrame, date_col: str, years: tuple[int, int], pad: int = 0) -> DataFrame:
     """Holiday distances of a date column and the within-three-days flag."""
     distances = holiday_distances(df.sparkSession, years, pad).withColumnRenamed("calendar_date", date_col)
-    joined = lookup(df, distances, date_col, _bound(years))
+    joined = lookup(df, distances, date_col)
     near = (F.col("days_to_next_holiday") <= 3) | (F.col("days_since_last_holiday") <= 3)
     return joined.withColumn("near_holiday", F.when(near, 1).otherwise(0))
 
 
-def add_holiday_features(df: DataFrame, holidays: DataFrame, ts: str = "datetime", bound: int | None = None) -> DataFrame:
+def add_holiday_features(df: DataFrame, holidays: DataFrame, ts: str = "datetime") -> DataFrame:
     """Join a (date, holiday_name) table on the day of ``ts``; distances stay zero placeholders."""
     named = holidays.select(F.col("date").cast("date").alias("_day"), "holiday_name")
-    joined = lookup(df.withColumn("_day", F.to_date(ts)), named, "_day", bound).drop("_day")
+    joined = lookup(df.withColumn("_day", F.to_date(ts)), named, "_day").drop("_day")
     return joined.withColumns(
         {
             "is_holiday": F.col("holiday_name").isNotNull().cast("int"),

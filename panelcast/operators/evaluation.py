@@ -25,11 +25,11 @@ WEEKDAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday",
 
 def finite_pairs(df: DataFrame, y: str, yhat: str) -> DataFrame:
     """Rows where actual and prediction are both finite numbers."""
+    return df.filter(_finite(y) & _finite(yhat))
 
-    def ok(c):
-        return F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(F.col(c)) < F.lit(float("inf")))
 
-    return df.filter(ok(y) & ok(yhat))
+def _finite(c: str) -> Column:
+    return F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(F.col(c)) < F.lit(float("inf")))
 
 
 def _pct_error(y: Column, yhat: Column) -> Column:
@@ -43,19 +43,22 @@ def _r2(y: Column, yhat: Column) -> Column:
     return F.when(F.count(y) >= 2, F.when(total == 0, flat).otherwise(1.0 - residual / total))
 
 
-def metric_columns(y: str, yhat: str) -> list[Column]:
+def metric_columns(y: str, yhat: str, prefix: str = "") -> list[Column]:
     a, p = F.col(y), F.col(yhat)
     error, scale = F.abs(a - p), F.abs(a) + F.abs(p)
     total = F.sum(F.abs(a))
     return [
-        F.count(F.lit(1)).alias("observations"),
-        F.avg(error).alias("mae"),
-        F.sqrt(F.avg(error * error)).alias("rmse"),
-        _r2(a, p).alias("r2"),
-        F.avg(_pct_error(a, p)).alias("mape"),
-        F.avg(F.when(scale > TINY, 2.0 * error / scale * 100.0)).alias("smape"),
-        F.when(total > TINY, F.sum(error) / total * 100.0).alias("wape"),
-        F.avg(p - a).alias("bias"),
+        value.alias(prefix + name)
+        for name, value in {
+            "observations": F.count(a),
+            "mae": F.avg(error),
+            "rmse": F.sqrt(F.avg(error * error)),
+            "r2": _r2(a, p),
+            "mape": F.avg(_pct_error(a, p)),
+            "smape": F.avg(F.when(scale > TINY, 2.0 * error / scale * 100.0)),
+            "wape": F.when(total > TINY, F.sum(error) / total * 100.0),
+            "bias": F.avg(p - a),
+        }.items()
     ]
 
 
@@ -262,12 +265,14 @@ def coherence(reconciled: DataFrame) -> DataFrame:
     if "bottomup_lo_mw" in reconciled.columns:
         inside = F.col("bottomup_actual_mw").between(F.col("bottomup_lo_mw"), F.col("bottomup_hi_mw"))
         head.append((F.avg(F.when(inside, 1.0).otherwise(0.0)) * 100.0).alias("bottomup_coverage_pct"))
-    out = reconciled.agg(*head)
+    pairs, named = reconciled, []
     for side in ("bottomup", "direct"):
-        found = metrics(reconciled, f"{side}_actual_mw", f"{side}_predicted_mw")
-        named = found.select([F.col(c).alias(f"{side}_{c}") for c in found.columns])
-        out = attach_one_row(out, named)
-    return out
+        # a side without both numbers takes no part in its metrics, but stays for the other side
+        y, yhat = f"{side}_actual_mw", f"{side}_predicted_mw"
+        whole = _finite(y) & _finite(yhat)
+        pairs = pairs.withColumns({f"_{side}_y": F.when(whole, F.col(y)), f"_{side}_p": F.when(whole, F.col(yhat))})
+        named += metric_columns(f"_{side}_y", f"_{side}_p", prefix=f"{side}_")
+    return pairs.agg(*head, *named)
 
 
 def verdict(df: DataFrame, targets: dict[str, tuple[float, float]] = MAPE_TARGETS, model: str = "model_type") -> DataFrame:

@@ -9,9 +9,6 @@ from panelcast.functions.timecols import add_hours
 from panelcast.operators.blocks import as_keys
 from panelcast.schemas import require_columns
 
-BROADCAST_ROWS = 1_000_000
-
-
 def default_salts(df: DataFrame) -> int:
     """A sixteenth of the shuffle partitions, between 8 and 64."""
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -43,10 +40,8 @@ def attach_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return df.withColumn("_one", packed).select(*df.columns, *added)
 
 
-def lookup(df: DataFrame, dimension: DataFrame, on, bound: int | None = None) -> DataFrame:
-    """Left join of a dimension; broadcast only when the caller can state its row bound."""
-    if bound is not None and bound <= BROADCAST_ROWS:
-        dimension = F.broadcast(dimension)
+def lookup(df: DataFrame, dimension: DataFrame, on) -> DataFrame:
+    """Left join of a dimension. Spark broadcasts it if its measured or estimated size allows that."""
     return df.join(dimension, as_keys(on), "left")
 
 

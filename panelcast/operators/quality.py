@@ -138,27 +138,27 @@ def short_history(df: DataFrame, key: str, ts: str, y: str, need: int = 336) ->
     return history_depth(df, key, ts, y, need).filter("is_short = 1").drop("is_short")
 
 
-def _horizon_span(df, key, horizon):
-    return df.groupBy(*as_keys(key)).agg(
-        F.count_distinct(horizon).alias("horizon_count"),
-        F.min(horizon).alias("minimum_horizon"),
-        F.max(horizon).alias("maximum_horizon"),
-    )
+#: Horizons in one mask of a whole number.
+MASK_BITS = 62
 
 
-def _is_complete(lo: int, hi: int) -> Column:
-    return (
-        (F.col("horizon_count") == hi - lo + 1)
-        & (F.col("minimum_horizon") == lo)
-        & (F.col("maximum_horizon") == hi)
-    )
+def _completeness(df: DataFrame, lo: int, hi: int, key, horizon: str) -> DataFrame:
+    """Per issue whether its horizons are exactly those of the range; masks are or-ed before the shuffle."""
+    place = F.col(horizon) - lo
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(place, F.lit(MASK_BITS)).cast("int"))
+    words = range((hi - lo) // MASK_BITS + 1)
+    masks = [F.bit_or(F.when(F.floor(place / MASK_BITS) == w, bit)).alias(f"_mask{w}") for w in words]
+    spans = df.groupBy(*as_keys(key)).agg(F.min(horizon).alias("_least"), F.max(horizon).alias("_most"), *masks)
+    held = sum((F.bit_count(F.coalesce(F.col(f"_mask{w}"), F.lit(0).cast("long"))) for w in words), F.lit(0))
+    whole = (F.col("_least") == lo) & (F.col("_most") == hi) & (held == hi - lo + 1)
+    return spans.select(*as_keys(key), F.coalesce(whole, F.lit(False)).alias("is_complete"))
 
 
 def complete_horizons(
     df: DataFrame, lo: int, hi: int, key=("issue_datetime", "zone"), horizon: str = "forecast_horizon_hours"
 ) -> DataFrame:
     """Rows of the issues that hold every horizon of the range."""
-    complete = _horizon_span(df, key, horizon).filter(_is_complete(lo, hi))
+    complete = _completeness(df, lo, hi, key, horizon).filter("is_complete")
     return df.join(complete.select(*as_keys(key)), as_keys(key), "left_semi")
 
 
@@ -166,8 +166,8 @@ def coverage_rate(
     df: DataFrame, lo: int, hi: int, key=("issue_datetime", "zone"), horizon: str = "forecast_horizon_hours"
 ) -> DataFrame:
     """How many issues there are and what share of them is complete."""
-    done = _is_complete(lo, hi).cast("int")
-    return _horizon_span(df, key, horizon).agg(
+    done = F.col("is_complete").cast("int")
+    return _completeness(df, lo, hi, key, horizon).agg(
         F.count(F.lit(1)).alias("issues"),
         F.sum(done).alias("complete_issues"),
         F.avg(done).alias("coverage_rate"),

@@ -205,8 +205,11 @@ def top_n_per_group(df: DataFrame, group, order: list[Column], n, default: int =
 
 
 def latest_per_key(df: DataFrame, key, ts: str) -> DataFrame:
-    """Newest row per key as a partial aggregate: each task keeps one candidate per key."""
+    """Newest row per key as a partial aggregate: each task keeps one candidate per key.
+
+    Of rows of the same time the one with the greatest values stays whole, column by column in the frame's order.
+    """
     keys = as_keys(key)
-    values = [F.max_by(c, ts).alias(c) for c in df.columns if c not in keys and c != ts]
-    newest = df.groupBy(*keys).agg(*values, F.max(ts).alias(ts))
-    return newest.select(*df.columns)
+    rest = [ts, *[c for c in df.columns if c not in keys and c != ts]]
+    newest = df.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_row"))
+    return newest.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])

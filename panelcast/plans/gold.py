@@ -95,13 +95,18 @@ FEATURES_7D = [*TEMPORAL, *HORIZON, *FEATURES_24H[len(TEMPORAL):]]
 
 
 def clean_panel(silver: DataFrame, order: str | None = None) -> DataFrame:
-    """Checked, numeric, keyed rows; ``order`` merges repeated keys, earliest value first."""
+    """Checked, numeric rows, one per key.
+
+    Repeated keys are merged: per column the first value that is not null, by ``order`` or else by the measures.
+    """
     measures = ["demand_mw", *WEATHER_MEASURES]
     needed = require_columns(silver, ["zone", "datetime", *measures])
     slim = needed.select("zone", "datetime", *measures, *([order] if order else []))
     typed = coerce_numeric(slim, measures).withColumn("datetime", F.col("datetime").cast("timestamp"))
     keyed = require_non_null(typed, ["zone", "datetime", "demand_mw"])
-    return coalesce_duplicates(keyed, ["zone", "datetime"], order).drop(order) if order else keyed
+    if order is None:
+        keyed, order = keyed.withColumn("_order", F.struct(*measures)), "_order"
+    return coalesce_duplicates(keyed, ["zone", "datetime"], order).drop(order)
 
 
 def history_windows(w: WindowSpec) -> dict[str, Column]:

@@ -30,10 +30,13 @@ def evaluation_tables(
     y: str = "target_demand_mw",
     yhat: str = "prediction_mw",
     importance: DataFrame | None = None,
+    sample_horizon: int | None = None,
+    sample_rows: int = SAMPLE_ROWS,
 ) -> dict[str, DataFrame]:
     """Evaluation tables of one model by table name, every row stamped with time, model and run.
 
-    The predictions are settled once and read by every table.
+    The predictions are settled once and read by every table. The sample holds at most ``sample_rows`` rows, of all
+    horizons or of ``sample_horizon`` alone, as for a week-ahead model whose samples are compared over time.
     """
     horizon = [c for c in ("forecast_horizon_hours",) if c in predictions.columns]
     predictions = settle(predictions.select("zone", "target_datetime", *horizon, y, yhat))
@@ -41,8 +44,9 @@ def evaluation_tables(
         F.min("target_datetime").alias("test_period_start"), F.max("target_datetime").alias("test_period_end")
     )
     has_horizon = bool(horizon)
-    # a week-ahead model is sampled at one horizon, so the sample is comparable over time
-    pool = predictions.filter("forecast_horizon_hours = 24") if has_horizon else predictions
+    pool = predictions
+    if sample_horizon is not None:
+        pool = predictions.where(F.col("forecast_horizon_hours") == sample_horizon)
     errors = row_errors(pool, y, yhat).select(
         "zone",
         "target_datetime",
@@ -56,7 +60,7 @@ def evaluation_tables(
         "model_performance_by_zone": metrics_full(predictions, y, yhat, "zone"),
         "model_performance_by_time": metrics_by_time(predictions, y, yhat),
         "model_error_distribution": error_distribution(predictions, y, yhat),
-        "model_predictions_sample": sample_n(errors, SAMPLE_ROWS, ["zone", "target_datetime"]),
+        "model_predictions_sample": sample_n(errors, sample_rows, ["zone", "target_datetime"]),
     }
     if has_horizon:
         tables["model_performance_by_horizon"] = metrics_by_horizon(predictions, y, yhat)

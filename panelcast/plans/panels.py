@@ -69,6 +69,11 @@ def interval_panel(events: DataFrame) -> DataFrame:
     )
 
 
+def dense_interval_panel(events: DataFrame) -> DataFrame:
+    """The five-minute report with all days of a month folded onto its first, so that hours are complete."""
+    return interval_panel(events.withColumn("ts", F.to_timestamp_ntz(F.concat_ws(" ", F.date_format("ts", "yyyy-MM-01"), F.date_format("ts", "HH:mm:ss")))))
+
+
 def wide_panel(events: DataFrame) -> DataFrame:
     """One column per zone plus the total and the difference to it, as the reports have them."""
     names = [zone for zone, *_ in EVENT_ZONES]
@@ -99,22 +104,41 @@ def repeated_panel(events: DataFrame) -> DataFrame:
     return first.unionByName(again)
 
 
-def forecast_panel(events: DataFrame, hi: int = 24) -> DataFrame:
-    """Issues times horizons with actuals and a seasonal-naive prediction: the target's exact lag 24."""
+def forecast_panel(events: DataFrame, hi: int = 168) -> DataFrame:
+    """Issues times horizons with actuals and a seasonal-naive prediction.
+
+    The prediction is the last value of the target's hour of day that is known when the forecast is issued: its
+    exact lag of 24 hours up to horizon 24, of 48 up to 48, and so on.
+    """
+    days = -(-hi // 24)
     panel = hourly_panel(events).select("zone", "datetime", "demand_mw")
-    lagged = lag_exact(panel, "zone", "datetime", "demand_mw", [24, 168], stem="demand_lag")
+    lagged = lag_exact(panel, "zone", "datetime", "demand_mw", sorted({*range(24, 24 * days + 1, 24), 168}), stem="demand_lag")
     targets = lagged.select(
         "zone",
         F.col("datetime").alias("target_datetime"),
         F.col("demand_mw").alias("target_demand_mw"),
-        F.col("demand_lag_24h").alias("prediction_mw"),
+        F.array(*[F.col(f"demand_lag_{24 * d}h") for d in range(1, days + 1)]).alias("_known"),
         F.col("demand_lag_168h").alias("lag_168_mw"),
     )
     # every target serves hi issues, so the issues come from the target side without a join
     horizon = F.explode(F.sequence(F.lit(1), F.lit(hi)))
     expanded = targets.withColumn("forecast_horizon_hours", horizon)
     issue = F.timestamp_add("HOUR", -F.col("forecast_horizon_hours"), F.col("target_datetime"))
-    return expanded.withColumn("issue_datetime", issue)
+    known = F.get("_known", F.floor((F.col("forecast_horizon_hours") - 1) / 24).cast("int"))
+    return expanded.withColumns({"issue_datetime": issue, "prediction_mw": known}).drop("_known")
+
+
+def target_panel(events: DataFrame) -> DataFrame:
+    """One row per target: the actual value and the exact lags of a day and a week."""
+    panel = hourly_panel(events).select("zone", "datetime", "demand_mw")
+    lagged = lag_exact(panel, "zone", "datetime", "demand_mw", [24, 168], stem="demand_lag")
+    return lagged.select(
+        "zone",
+        F.col("datetime").alias("target_datetime"),
+        F.col("demand_mw").alias("target_demand_mw"),
+        F.col("demand_lag_24h").alias("prediction_mw"),
+        F.col("demand_lag_168h").alias("lag_168_mw"),
+    )
 
 
 def production_panel(t: Tables) -> DataFrame:
@@ -155,6 +179,6 @@ def totals_with_zones(panel: DataFrame, label: str = "Total") -> DataFrame:
 
 
 __all__ = [
-    "EVENT_WEIGHTS", "EVENT_ZONES", "Tables", "daily_panel", "forecast_panel", "hourly_panel",
-    "interval_panel", "production_panel", "repeated_panel", "totals_with_zones", "upsert_sides", "wide_panel",
+    "EVENT_WEIGHTS", "EVENT_ZONES", "Tables", "daily_panel", "dense_interval_panel", "forecast_panel", "hourly_panel",
+    "interval_panel", "production_panel", "repeated_panel", "target_panel", "totals_with_zones", "upsert_sides", "wide_panel",
 ]

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,15 +33,38 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Where intermediate tables go: the cluster's folder, or on one machine a temporary one."""
+    """Where intermediate tables go: the cluster's folder, or on one machine a temporary one.
+
+    On a cluster without ``spark.checkpoint.dir`` this raises, as executors would write to disks of their own.
+    """
     named = checkpoint_dir(spark)
     if named is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         named = tempfile.mkdtemp(prefix="panelcast-")
         spark.sparkContext.setCheckpointDir(named)
         named = spark.sparkContext.getCheckpointDir()
     return named.rstrip("/")
 
 
+_owned: list[list[str]] = []
+
+
+@contextmanager
+def settled_within(spark: SparkSession) -> Iterator[None]:
+    """Own the tables that ``settle`` writes in this block, and remove them at its end.
+
+    For jobs whose result is written inside the block; frames that read the tables are of no use afterwards.
+    """
+    _owned.append([])
+    try:
+        yield
+    finally:
+        for path in _owned.pop():
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write a frame to the shared folder and read it back.
 
@@ -49,5 +74,7 @@ def settle(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/settled-{uuid.uuid4().hex}"
+    if _owned:
+        _owned[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -5,31 +5,61 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelcast.schemas import MissingColumns
 
 
-def _header_of(lines: DataFrame, first: str) -> list[str]:
-    """Column names from the one line that starts with the first column's name."""
-    found = lines.filter(F.lower(F.trim(F.split("value", ",")[0])) == first.lower()).first()
-    if found is None:
-        raise MissingColumns(f"no header line starts with {first}")
-    return [name.strip() for name in found.value.split(",")]
+def _lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    return spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"))
 
 
-def _parse(lines: DataFrame, columns: list[str], date_col: str, numbers: Iterable[str]) -> DataFrame:
-    """Lines whose first field is a date, as columns; metadata and header lines fall away."""
-    dated = F.trim(F.split("value", ",")[columns.index(date_col)]).try_cast("date")
-    # every field as text: one malformed number must not cost the row
-    ddl = ", ".join(f"`{c}` STRING" for c in columns)
+def _fields(line: str = "value") -> Column:
+    return F.transform(F.split(line, ","), lambda f: F.trim(f))
+
+
+def _with_header(lines: DataFrame, required: list[str], columns: list[str] | None) -> tuple[DataFrame, list[str], int]:
+    """Lines with the ``header`` of their own file, the names of all files in order of appearance, and the most fields.
+
+    A header is the line that holds every required name. A file without one has the layout ``columns``, or is refused
+    when that is not given. Only distinct layouts reach the driver.
+    """
+    named = F.forall(F.array(*[F.lit(c) for c in required]), lambda c: F.array_contains(_fields(), c))
+    headers = lines.where(named).groupBy("file").agg(F.min("value").alias("header"))
+    layouts = headers.groupBy("header").agg(F.min("file").alias("file")).orderBy("file").collect()
+    found = [name.strip() for row in layouts for name in row.header.split(",")]
+    if columns is None and not layouts:
+        raise MissingColumns("no header line holds " + ", ".join(required))
+    names = columns or list(dict.fromkeys(found))
+    own = _fields("header")
+    if columns is None:
+        refused = F.raise_error(F.concat(F.lit("no header line in "), F.col("file"))).cast("array<string>")
+    else:
+        refused = F.array(*[F.lit(c) for c in columns])
+    placed = lines.join(headers, "file", "left").withColumn("header", F.when(F.col("header").isNotNull(), own).otherwise(refused))
+    return placed, names, max(len(columns or []), *[row.header.count(",") + 1 for row in layouts], 1)
+
+
+def _parse(lines: DataFrame, required: list[str], columns: list[str] | None, date_col: str) -> DataFrame:
+    """Lines whose date field holds a date, as columns by the header of their file; other lines fall away.
+
+    A column that a file lacks is null in its rows. Every field is read as text first, as one malformed number must
+    not cost the row.
+    """
+    placed, names, width = _with_header(lines, required, columns)
+    ddl = ", ".join(f"_{i} STRING" for i in range(width))
     trimmed = {"ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"}
-    rows = lines.filter(dated.isNotNull()).select(F.from_csv("value", ddl, trimmed).alias("r")).select("r.*")
-    typed = {date_col: F.col(f"`{date_col}`").try_cast("date")}
-    typed |= {c: F.col(f"`{c}`").try_cast("double") for c in columns if c in set(numbers)}
-    return rows.withColumns(typed)
+    split = F.from_csv("value", ddl, trimmed)
+    rows = placed.withColumn("_r", split).withColumn("_f", F.array(*[F.col(f"_r._{i}") for i in range(width)]))
+
+    def field(name: str) -> Column:
+        place = F.array_position("header", F.lit(name))
+        return F.when(place > 0, F.get("_f", place.cast("int") - 1))
+
+    dated = rows.withColumn("_date", field(date_col).try_cast("date")).where("_date IS NOT NULL")
+    return dated.select(*[F.col("_date").alias(c) if c == date_col else field(c).try_cast("double").alias(c) for c in names])
 
 
 def read_report_csv(
@@ -43,12 +73,12 @@ def read_report_csv(
 ) -> DataFrame:
     """Yearly report files: metadata lines before the header, then one row per date and hour.
 
-    Lines are told apart by their first field, not by position, so files may be split anywhere.
-    Rows with a bad date or hour are dropped; every other column becomes a number or null.
+    Each file is read by its own header, so columns may stand in any order or be missing in some files; ``columns``
+    picks some, and is the layout of files without a header. Lines are told apart by their fields, not by position,
+    so files may be split anywhere. Rows with a bad date or hour are dropped; every other column becomes a number or
+    null.
     """
-    lines = spark.read.text(paths)
-    columns = columns or _header_of(lines, date_col)
-    rows = _parse(lines, columns, date_col, [c for c in columns if c != date_col])
+    rows = _parse(_lines(spark, paths), [date_col, hour_col], columns, date_col)
     rows = rows.dropna(subset=[date_col, hour_col]).withColumn(hour_col, F.col(hour_col).cast("int"))
     if start is not None:
         rows = rows.filter(F.col(date_col) >= F.lit(start))
@@ -63,13 +93,11 @@ def read_interval_feed(
     required: Iterable[str] = ("Date", "Hour", "Interval"),
     columns: list[str] | None = None,
 ) -> DataFrame:
-    """Five-minute feed: trimmed column names, required columns checked, all measures numeric."""
-    lines = spark.read.text(paths)
-    columns = columns or _header_of(lines, "Date")
-    missing = [c for c in required if c not in columns]
-    if missing:
+    """Five-minute feed: trimmed column names, required columns checked in every file, all measures numeric."""
+    required = list(required)
+    if columns is not None and (missing := [c for c in required if c not in columns]):
         raise MissingColumns("missing feed columns: " + ", ".join(missing))
-    rows = _parse(lines, columns, "Date", [c for c in columns if c != "Date"])
+    rows = _parse(_lines(spark, paths), required, columns, "Date")
     whole = {c: F.col(c).cast("int") for c in ("Hour", "Interval")}
     return rows.dropna(subset=["Date", "Hour", "Interval"]).withColumns(whole)
 

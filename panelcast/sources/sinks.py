@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from panelcast.operators.blocks import as_keys
 from panelcast.operators.quality import dedup_any, dedup_ordered
-from panelcast.session import settle
+from panelcast.session import settle, settled_within
 from panelcast.sources.readers import _exists
 
 
@@ -88,6 +88,9 @@ def upsert(
     """
     keys, partitions = as_keys(keys), partitions or {}
     fresh = dedup_ordered(source, keys, [order], keep="last") if order else dedup_any(source, keys)
+    # a null key matches nothing and would be inserted again by every load
+    refused = {k: F.when(F.col(k).isNull(), F.raise_error(F.lit(f"null in the key {k}"))).otherwise(F.col(k)) for k in keys}
+    fresh = fresh.withColumns(refused)
     fresh = fresh.withColumns(partitions) if partitions else fresh
     if not _exists(spark, path):
         write_partitioned(fresh, path, partitions)
@@ -99,8 +102,9 @@ def upsert(
         fresh = fresh.withColumns({n: F.col(n).cast(kinds[n]) for n in names})
         touched = fresh.select(*names).distinct()
         target = target.join(touched, names, "left_semi")
-    merged = settle(merge_rows(target, fresh, keys, update))
-    write_partitioned(merged, path, partitions, replace=not partitions)
+    with settled_within(spark):
+        merged = settle(merge_rows(target, fresh, keys, update))
+        write_partitioned(merged, path, partitions, replace=not partitions)
 
 
 def ensure_table(

@@ -7,8 +7,6 @@ from tools.compare import compare, duck
 
 SQL = oracle_sql()
 RUN = queries()
-# forms of the same feature code that take long even on small tables
-SLOW = {"feature_scores", "feature_importance", "backtest"}
 
 
 @pytest.fixture(scope="session")
@@ -16,13 +14,13 @@ def con(small):
     return duck(small)
 
 
-@pytest.mark.parametrize("name", [n for n in RUN if n in SQL and n not in SLOW])
+@pytest.mark.parametrize("name", [n for n in RUN if n in SQL])
 def test_query_matches_sql(spark, small, con, name):
     got = RUN[name](spark, small).toPandas()
     assert compare(got, con.execute(SQL[name]).df()) == ""
 
 
-@pytest.mark.parametrize("name", [n for n in RUN if n not in SQL and n not in SLOW])
+@pytest.mark.parametrize("name", [n for n in RUN if n not in SQL])
 def test_query_without_sql_gives_rows(spark, small, name):
     assert RUN[name](spark, small).count() > 0
 
