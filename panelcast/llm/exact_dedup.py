@@ -136,12 +136,12 @@ class ExactDedup:
         owners = written(self.state().where("held > 1"), "owners")
         bits, hashes = bloom.shape(owners.count(), FALSE_HITS)
         words = written(bloom.build(owners, "digest", 0, bits, hashes), "filter").scalar()
-        # texts travel only where the digest may be a hit
         all_rows = self.rows(self.source)
-        hit = bloom.holds(words, F.col("digest"), 0, bits, hashes)
-        rows = all_rows.select("id", "digest", F.when(hit, F.col("text")).alias("text"))
-        located = rows.where("text IS NOT NULL").join(owners.select("digest", F.col("owner").alias("id")), ["digest", "id"])
-        located = located.select("digest", F.col("id").alias("owner"), F.col("text").alias("owned")).dropDuplicates(["digest"])
+        # texts travel only where the digest may be a hit; owners are picked by id before anything is computed
+        rows = all_rows.select("id", "digest", F.when(bloom.holds(words, F.col("digest"), 0, bits, hashes), F.col("text")).alias("text"))
+        ids = owners.select("digest", F.col("owner").alias("id"))
+        located = bloom.only(all_rows.select("id", F.col("text").alias("owned")), ids, "id").join(ids, "id")
+        located = located.select("digest", F.col("id").alias("owner"), "owned").dropDuplicates(["digest"])
         met = rows.join(located, "digest", "left").select(
             "id", "digest", F.coalesce("owner", "id").alias("owner"), F.when(~F.coalesce(F.col("text") == F.col("owned"), F.lit(True)), F.col("text")).alias("differs")
         )
