@@ -38,7 +38,7 @@ MIXED_SPACE = re.compile(r"\s \s|  |\s \Z")
 #: Below this code point every Unicode version agrees on letters and numbers; above, the library splits.
 SETTLED = "ɐ"
 #: Words that a worker remembers in each of two generations, and the longest of them.
-REMEMBERED, LONGEST = 250_000, 48
+REMEMBERED, LONGEST = 150_000, 48
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -188,16 +188,22 @@ class Vocabulary:
         return self.plain(word)
 
     def lower_word(self, word: bytes) -> bytes:
-        """Ids of a word under a vocabulary that normalises: as its library says, or plain ASCII."""
+        """Ids of a word under a vocabulary that normalises.
+
+        Below ``SETTLED`` texts are composed already and lower-case letter by letter; else the library normalises.
+        """
         bare = word[:-1]
         if bare.isalpha():  # bytes: ASCII letters only
             last = word[-1:]
             if last in b",.":
                 return self.words[bare] + self.words[last]
             if last.isalpha():
-                return self.pieces([word.lower() + WORD_END])
+                whole = word.lower() + WORD_END
+                if self.core is not None and not whole.translate(None, self.close):
+                    return b"".join([self.place[r] for r in self.core.encode_single_piece(whole)])
+                return self.pieces([whole])
         text = word.decode()
-        return self.plain(text.lower() if text.isascii() else self.library.normalizer.normalize_str(text))
+        return self.plain(text.lower() if max(text) < SETTLED else self.library.normalizer.normalize_str(text))
 
     def spaced(self, text: str) -> bytes:
         """Ids of a text without special tokens, by words.
