@@ -7,7 +7,7 @@ import os
 import time
 
 from panelcast.catalog import CHECKS
-from panelcast.operators.calendar import year_bounds  # noqa: E402
+from panelcast.operators.calendar import year_bounds
 from panelcast.plans import gold
 from panelcast.plans.panels import Tables, hourly_panel
 from panelcast.session import build_session
