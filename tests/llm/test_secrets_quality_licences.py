@@ -63,6 +63,29 @@ def test_step_up_rejects_a_prefix_of_sorted_values():
     assert secrets.discoveries([(0.02, 20), (0.02, 60)], 0.01) == [False, False]
 
 
+@pytest.mark.parametrize("neighbours", [0, 100, 1000])
+@pytest.mark.parametrize(
+    ("letters", "length"),
+    [
+        (string.ascii_letters + string.digits, 24),
+        (string.ascii_letters + string.digits, 32),
+        ("0123456789ABCDEF", 32),
+        (string.ascii_uppercase + "234567", 32),
+        (string.ascii_lowercase + string.digits, 32),
+    ],
+)
+def test_secrets_are_found_among_many_neighbours(letters, length, neighbours):
+    draw, words = random.Random(length), "report image upload user profile summer sale review guide travel music release notes budget".split()
+    tries, found, false = 40 if neighbours < 1000 else 8, 0, 0
+    for _ in range(tries):
+        others = ["-".join(draw.choices(words, k=5)) + f"-{draw.randint(1, 2030)}" for _ in range(neighbours)]
+        key, before = "".join(draw.choices(letters, k=length)), " ".join(others[: neighbours // 2])
+        spans = [(a, b) for a, k, b in secrets.spans_of(f"{before} {key} {' '.join(others[neighbours // 2 :])}") if k == 3]
+        hit = (len(before) + 1, len(before) + 1 + length)
+        found, false = found + (hit in spans), false + len(set(spans) - {hit})
+    assert found >= 0.8 * tries and false == 0
+
+
 def test_redaction(odd, spark, nothing):
     assert {r["doc_id"]: r["text"] for r in secrets.redact(odd).collect()} == ODD_TEXTS
     one = spark.createDataFrame([(1, "x token=abcdef12 y AKIA" + "Q" * 16 + "!"), (2, "password=" + "a1" * 15)], "doc_id int, text string")
