@@ -2,6 +2,7 @@
 
 Known forms are found by pattern. For everything else a candidate is a run of encoding characters, and
 its encoding (hexadecimal, base32, base64 or letters and digits) is inferred from the characters used.
+A run can be a path that holds a key, so its parts between the signs ``+ / - _`` are candidates as well.
 Three tests then ask whether the symbols look drawn evenly and independently from that alphabet:
 
 * chi-squared: how even are the counts of symbols;
@@ -15,13 +16,15 @@ capital letters, digits and signs; the chance that it seems at least as random a
 ratio of both likelihoods (Markov's inequality), whatever the alphabet, and falls with the length: a short run
 proves little, a long one much. These p-values go through the step-up procedure of Benjamini and Hochberg,
 weighted by length. A family is ``FAMILY`` candidates in a row, of those that may be random, so that a secret
-counts as much in a long text as in a short one. What is rejected is reported as ``random``.
+counts as much in a long text as in a short one. What is rejected is reported as ``random``; of overlapping
+candidates that with the strongest evidence, with the parts beside it that read like more of it.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from dataclasses import dataclass
 
@@ -42,6 +45,13 @@ LEAST_ASSIGN, LEAST_ACCESS = 6, 20
 
 #: Runs of encoding characters; shorter ones can't be told from words.
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
+#: Where runs are cut: signs of one alphabet only, the slash, all signs.
+CUTS = tuple(map(re.compile, (r"[-_]+", r"[+/]+", r"/+", r"[-+/_]+")))
+LEAST_CANDIDATE = 20
+#: Parts beside a secret: up to the next sign, forward and backward.
+PART, BACK = re.compile(r"[-+/_]+[A-Za-z0-9]*|[A-Za-z0-9]+"), re.compile(r"[A-Za-z0-9]+[-+/_]*|[-+/_]+")
+#: Evidence that they may lack, that ends the search, and the size of the widest alphabet.
+NEARLY, HOPELESS, WIDEST = 3.0, 20.0, 64
 #: Alphabets from narrow to wide: the first that holds all symbols is the encoding.
 ALPHABETS = (
     ("hexadecimal", "0123456789abcdef"),
@@ -212,21 +222,101 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def random_spans(text: str, known: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Spans that the battery reports, away from the known ones."""
-    tested = []
+def free_runs(text: str, known: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """Runs of encoding characters, less what the known forms cover."""
+    covered: list[list[int]] = []
+    for a, _, b in known:
+        if covered and a <= covered[-1][1]:
+            covered[-1][1] = max(covered[-1][1], b)
+        else:
+            covered.append([a, b])
+    out, i = [], 0
     for m in CANDIDATE.finditer(text):
-        a, b = m.span()
-        if any(s < b and a < e for s, _, e in known):
-            continue
-        result = battery(m[0])
+        at = m.start()
+        while i < len(covered) and covered[i][1] <= at:
+            i += 1
+        j = i
+        while j < len(covered) and covered[j][0] < m.end():
+            out.append((at, covered[j][0]))
+            at, j = covered[j][1], j + 1
+        out.append((at, m.end()))
+    return [(a, b) for a, b in out if b - a >= LEAST_CANDIDATE]
+
+
+def candidates(text: str, runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The runs and their parts of 20 characters or more, by start and then end."""
+    found = set()
+    for a, b in runs:
+        found.add((a, b))
+        for cut in CUTS:
+            at = a
+            for c in cut.finditer(text, a, b):
+                found.add((at, c.start()))
+                at = c.end()
+            found.add((at, b))
+    return sorted((a, b) for a, b in found if len(text[a:b].rstrip("=")) >= LEAST_CANDIDATE)
+
+
+def strongest(found: list[tuple[int, int, float]]) -> list[tuple[int, int]]:
+    """Spans of the (start, end, evidence) that overlap nothing of more evidence, by start."""
+    out: list[tuple[int, int]] = []
+    for a, b, _ in sorted(found, key=lambda f: (-f[2], f[0], -f[1])):
+        i = bisect_right(out, a, key=lambda f: f[1])
+        if i >= bisect_left(out, b, key=lambda f: f[0]):
+            out.insert(i, (a, b))
+    return out
+
+
+def beyond(parts: list[str]) -> int:
+    """How many characters of what follows a secret belong to it: as far as the sum of evidence hardly falls."""
+    total = best = 0.0
+    at = reach = 0
+    for part in parts:
+        pairs = [a + b for a, b in zip(part, part[1:])]
+        total += -len(pairs) * math.log(WIDEST) - max(sum(map(steps.__getitem__, pairs)) for steps in STEPS)
+        at += len(part) - 1
+        if total >= best - NEARLY:
+            reach = at
+        best = max(best, total)
+        if total < best - HOPELESS:
+            break
+    return reach
+
+
+def grown(text: str, a: int, b: int, left: int, right: int) -> tuple[int, int]:
+    """A secret and the parts beside it, between signs, that read like more of it, within a run."""
+    if not inferred(text[a:b].rstrip("="))[0].startswith("base6"):
+        return a, b  # signs belong to no narrower encoding
+    if b < right and text[b] != "=":
+        # each part with the character before it
+        ends = [m.end() for m in PART.finditer(text, b, right)]
+        b += beyond([text[x - 1 : y] for x, y in zip([b, *ends], ends)])
+    if a > left:
+        starts = [m.start() for m in BACK.finditer(text, left, a)][::-1]
+        a -= beyond([text[x : y + 1] for x, y in zip(starts, [a, *starts])])
+    while b < right and text[b] == "=":
+        b += 1
+    return a, b
+
+
+def random_spans(text: str, known: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Spans that the battery reports, away from the known ones and from each other."""
+    runs, tested = free_runs(text, known), []
+    for a, b in candidates(text, runs):
+        result = battery(text[a:b])
         if result is not None and result.random_p >= RANDOM:
-            tested.append((a, b, result.text_p))
+            tested.append((a, b, result))
     kept = []
     for i in range(0, len(tested), FAMILY):
         family = tested[i : i + FAMILY]
-        kept += [f for f, ok in zip(family, discoveries([(p, b - a) for a, b, p in family])) if ok]
-    return [(a, 3, b) for a, b, _ in kept]
+        kept += [f for f, ok in zip(family, discoveries([(t.text_p, b - a) for a, b, t in family])) if ok]
+    out: list[tuple[int, int, int]] = []
+    for a, b in strongest([(a, b, t.evidence) for a, b, t in kept]):
+        a, b = grown(text, a, b, *runs[bisect_right(runs, a, key=lambda r: r[0]) - 1])
+        if out and a < out[-1][2]:
+            a, b = out[-1][0], max(b, out.pop()[2])
+        out.append((a, 3, b))
+    return out
 
 
 def spans_of(text: str) -> list[tuple[int, int, int]]:

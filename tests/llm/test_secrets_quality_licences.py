@@ -86,6 +86,18 @@ def test_secrets_are_found_among_many_neighbours(letters, length, neighbours):
     assert found >= 0.8 * tries and false == 0
 
 
+@pytest.mark.parametrize("path", ["host/my-app/{}", "path/user_name/{}", "{}/my-app/x_y", "repo/{}-backup/file", "a+b-c/{}?x=1", "deadbeefdeadbeefdeadbeef01/{}"])
+def test_keys_in_paths_are_covered(path):
+    draw, signs = random.Random(5), string.ascii_letters + string.digits + "+/"
+    for letters, least in ((signs[:62], 38), (signs, 36), ("0123456789ABCDEF", 39)):
+        keys = ["".join(draw.choices(letters, k=40)) for _ in range(40)]
+        texts = [f"see {path.format(k)} there" for k in keys]
+        found = [[(a, b) for a, kind, b in secrets.spans_of(t) if kind == 3] for t in texts]
+        assert sum(any(a <= t.index(k) and t.index(k) + 40 <= b for a, b in f) for k, t, f in zip(keys, texts, found)) >= least
+        assert all(x[1] <= y[0] for f in found for x, y in zip(f, f[1:]))
+    assert secrets.spans_of(f"see {path.format('user-guide_of/the+summer')} there") == [s for s in secrets.base_spans("see " + path) if s]
+
+
 def test_redaction(odd, spark, nothing):
     assert {r["doc_id"]: r["text"] for r in secrets.redact(odd).collect()} == ODD_TEXTS
     one = spark.createDataFrame([(1, "x token=abcdef12 y AKIA" + "Q" * 16 + "!"), (2, "password=" + "a1" * 15)], "doc_id int, text string")
