@@ -7,14 +7,16 @@ depends on the bucket alone, so two sets agree in a bucket with a chance equal t
 small they are.
 
 Five registers make a band; equal bands make texts candidates. At a similarity of 0.8 the 51 bands miss a
-pair with a chance of 2e-9. Texts with equal sets are one class from the start. Within a bucket no pairs are
+pair with a chance of 2e-9 where registers are independent, as in sets of many more than 256 shingles. Texts with equal sets are one class from the start. Within a bucket no pairs are
 listed: every class is compared with the least of the bucket, and components are formed. Links inside a component
 change nothing more. Where a bucket still holds several components, any two of its classes may be similar; these
 classes are joined on their rarest shingles, of which similar sets of such sizes must share one, across
 components only. So no link is lost, and a large group of not quite similar texts is not compared pair by pair.
 
-Candidates must pass an estimate from all registers, corrected for registers that agree by chance, with a
-margin of eight standard errors below the threshold; the rest are confirmed by the intersection of both sets.
+Candidates of which both sets fill the buckets must pass an estimate from all registers, corrected for registers
+that agree by chance, with a margin of eight standard errors below the threshold. Smaller sets borrow most of their
+registers, so their errors are not independent and no such margin holds; they are not estimated. All that are left
+are confirmed by the intersection of both sets.
 """
 
 from __future__ import annotations
@@ -38,6 +40,8 @@ BAND_ROWS = 5
 BANDS = BUCKETS // BAND_ROWS
 #: Standard errors of the estimate (at most 1 / (2 * sqrt(256))) that a candidate may lie below the threshold.
 MARGIN = 8 / (2 * BUCKETS**0.5)
+#: Sets of fewer shingles are confirmed without an estimate.
+ESTIMATED = BUCKETS
 #: Ways in which an empty bucket looks for a filled one before it takes the next to the right.
 PROBES = 64
 
@@ -212,7 +216,8 @@ class NearDuplicates:
         two = classes.select(F.col("id").alias("v"), F.col("n").alias("m"), F.col("registers").alias("b"))
         sized = pairs.join(one, "u").join(two, "v").where(rule.sizes("n", "m"))
         guess = estimate_column(F.col("a"), F.col("b"), F.col("n"), F.col("m"))
-        return written(sized.withColumn("guess", guess).where(F.col("guess") >= rule.least / rule.of - MARGIN).select("u", "v"), "likely")
+        fits = (F.least("n", "m") < ESTIMATED) | (F.col("guess") >= rule.least / rule.of - MARGIN)
+        return written(sized.withColumn("guess", guess).where(fits).select("u", "v"), "likely")
 
     def confirmed(self, likely: DataFrame, sets: DataFrame) -> DataFrame:
         """Of the pairs (u, v), those whose full sets reach the threshold."""

@@ -60,6 +60,16 @@ def test_near_of_odd_texts(odd, nothing):
     assert hyperminhash.near_duplicates(nothing).count() == 0
 
 
+def test_short_texts_whose_registers_differ_by_bad_luck(spark):
+    """Four of five shingles in common, but registers that agree in half of the buckets only."""
+    words = {i: [f"word{i}{c}" for c in "abcdefgh"] for i in (3141, 4406, 9686, 11461)}
+    texts = {2 * i + k: " ".join(w[: 7 + k]) for i, w in words.items() for k in (0, 1)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    found = as_dict(hyperminhash.near_duplicates(docs, hyperminhash.Rule(4)).collect())
+    assert found == plain.near(texts, 4)
+    assert all(found[2 * i + 1][1] == 2 * i for i in words)
+
+
 def test_registers_estimate_similarity():
     draw = np.random.default_rng(5)
     for size in (6, 40, 400, 20_000):
