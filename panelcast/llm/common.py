@@ -62,3 +62,31 @@ def ascii_lower(text: Column) -> Column:
     """Lower-case A to Z and nothing else."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     return F.translate(text, upper, upper.lower())
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores until no column of the frame is called so, in whatever case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def with_facts(rows: DataFrame, facts: DataFrame, keys: list[str], times: str, most: int) -> DataFrame:
+    """Inner join of rows with what is known of their keys, however often one key occurs.
+
+    ``facts`` has one row per key, and in ``times`` how many rows have it. Keys of at least one in ``most`` of all
+    rows are ``most`` at the utmost: those are broadcast. No other key can make a task of a shuffled join large.
+    Null keys meet null keys. ``facts`` is read three times.
+    """
+    total = facts.agg(F.coalesce(F.sum(times), F.lit(0))).first()[0]
+    frequent = F.col(times) * F.lit(most) >= F.lit(total)
+    often, seldom = facts.where(frequent).drop(times), facts.where(~frequent).drop(times)
+
+    def met(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+        named = right.select(*[F.col(k).alias(f"{k}!") if k in keys else F.col(k) for k in right.columns])
+        same = [F.col(k).eqNullSafe(F.col(f"`{k}!`")) for k in keys]
+        return left.join(F.broadcast(named) if right is often else named, same, how).drop(*[f"{k}!" for k in keys])
+
+    rest = met(rows, often, "left_anti")
+    return met(rows, often, "inner").unionByName(met(rest, seldom, "inner"))
