@@ -32,7 +32,9 @@ from panelcast.llm.common import bounded_batches, text_or_empty, unused, with_fa
 #: Pairs that hold at least one in so many of all links are broadcast: at most as many pairs as this.
 HEAVY = 1 << 16
 #: Bytes of text that are aligned at once; one longer text is a slice of its own.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
+#: Bytes of a batch: the groups of a text, as text, are several times as long as the text itself.
+BATCH_BYTES = "1m"
 #: Stands for white space in the pieces of the second tokenizer.
 PIECE_SPACE = "▁"
 #: Fixed value: the public split pattern of byte-level vocabularies.
@@ -198,7 +200,7 @@ def align(df: DataFrame, left: str, right: str, text: str = "text") -> DataFrame
     empty texts, and those that a side does not reproduce, have no tokens: zeros, an empty text and no links.
     Columns of these names are replaced; other columns, repeated rows and an empty table pass through.
     """
-    bounded_batches(df.sparkSession)
+    bounded_batches(df.sparkSession, BATCH_BYTES)
 
     @F.arrow_udf(ALIGNED)
     def aligned(values: pa.Array) -> pa.Array:

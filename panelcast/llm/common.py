@@ -16,9 +16,9 @@ BATCH_BYTES = "4m"
 SPACES = b" \t\n\v\f\r"
 
 
-def bounded_batches(spark: SparkSession) -> None:
+def bounded_batches(spark: SparkSession, size: str = BATCH_BYTES) -> None:
     """Let the bytes, not the rows, bound what a Python worker receives at once."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
 
 def scratch(spark: SparkSession, name: str) -> str:
