@@ -8,6 +8,7 @@ from panelcast.catalog import (  # noqa: F401  (imported for their registrations
     projections,
     qualities,
     reports,
+    selections,
     serieses,
     tables,
     windowing,

@@ -123,6 +123,28 @@ P_INTERVAL = """p_interval AS (
 
 P_DENSE = P_INTERVAL.replace("CAST(ts AS DATE)", "CAST(date_trunc('month', ts) AS DATE)")
 
+# the hourly panel with short gaps of demand filled, so that windows of a week have no holes
+P_STEADY = (
+    P_HOUR.replace("p_hour AS (", "p_raw AS (")
+    + """, p_grid AS (
+  SELECT zone, unnest(generate_series(min(datetime), max(datetime), INTERVAL 1 HOUR)) AS datetime FROM p_raw GROUP BY zone
+), p_edges AS (
+  SELECT zone, datetime, p.* EXCLUDE (zone, datetime),
+         last_value(demand_mw IGNORE NULLS) OVER b AS py,
+         last_value(CASE WHEN demand_mw IS NOT NULL THEN datetime END IGNORE NULLS) OVER b AS pt,
+         first_value(demand_mw IGNORE NULLS) OVER a AS ny,
+         first_value(CASE WHEN demand_mw IS NOT NULL THEN datetime END IGNORE NULLS) OVER a AS nt
+  FROM p_grid LEFT JOIN p_raw p USING (zone, datetime)
+  WINDOW b AS (PARTITION BY zone ORDER BY datetime ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+         a AS (PARTITION BY zone ORDER BY datetime ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+), p_hour AS (
+  SELECT * EXCLUDE (py, pt, ny, nt) REPLACE (
+         CASE WHEN demand_mw IS NOT NULL THEN demand_mw WHEN epoch(datetime) - epoch(pt) <= 7200
+              THEN py + (ny - py) * (epoch(datetime) - epoch(pt)) / (epoch(nt) - epoch(pt)) END AS demand_mw)
+  FROM p_edges
+)"""
+)
+
 ZONE_NAMES = [zone for zone, *_ in EVENT_ZONES]
 P_WIDE = (
     P_HOUR
@@ -162,15 +184,19 @@ P_TARGETS = (
 )"""
 )
 
+# a horizon of h hours is predicted by the value of ceil(h / 24) days before the target: 24 horizons share a day
 P_FORECAST = (
     P_HOUR
-    + """, p_forecast AS (
-  SELECT a.zone, a.datetime AS target_datetime, a.demand_mw AS target_demand_mw, b.demand_mw AS prediction_mw,
-         c.demand_mw AS lag_168_mw, CAST(h AS INTEGER) AS forecast_horizon_hours,
-         a.datetime - to_hours(CAST(h AS BIGINT)) AS issue_datetime
-  FROM (SELECT *, unnest(range(1, 169)) AS h FROM p_hour) a
-  LEFT JOIN p_hour b ON b.zone = a.zone AND b.datetime = a.datetime - to_hours(CAST(ceil(h / 24) AS BIGINT) * 24)
+    + """, p_days AS (
+  SELECT a.zone, a.datetime, a.demand_mw, a.d, b.demand_mw AS prediction_mw, c.demand_mw AS lag_168_mw
+  FROM (SELECT *, unnest(range(1, 8)) AS d FROM p_hour) a
+  LEFT JOIN p_hour b ON b.zone = a.zone AND b.datetime = a.datetime - to_hours(24 * a.d)
   LEFT JOIN p_hour c ON c.zone = a.zone AND c.datetime = a.datetime - INTERVAL 168 HOUR
+), p_forecast AS (
+  SELECT zone, datetime AS target_datetime, demand_mw AS target_demand_mw, prediction_mw, lag_168_mw,
+         CAST(24 * d - k AS INTEGER) AS forecast_horizon_hours,
+         datetime - to_hours(CAST(24 * d - k AS BIGINT)) AS issue_datetime
+  FROM (SELECT *, unnest(range(0, 24)) AS k FROM p_days)
 )"""
 )
 

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from panelcast.catalog.base import P_FORECAST, P_HOUR, check, with_sql
 from panelcast.catalog.calendars import CALENDAR, calendar_sql
-from panelcast.catalog.serieses import GRID
 from panelcast.catalog.windowing import _checked, _frame, _rolling
 from panelcast.functions import scalars as sc
 from panelcast.operators import calendar as cal
@@ -346,10 +345,10 @@ def _flags_sql(essential) -> str:
       CASE WHEN {ok} AND target_demand_mw IS NOT NULL THEN 1 ELSE 0 END AS is_training_row"""
 
 
-def gold_24h_sql() -> str:
+def gold_24h_sql(panel: str = P_HOUR) -> str:
     ahead = ", ".join(_checked(c, -24, name) for c, name in gold.TARGET_NAMES.items())
     return with_sql(
-        GRID,
+        panel,
         f""", base AS (SELECT p.* FROM p_hour p),
         windowed AS (SELECT *, {HISTORY_SQL}, {ahead} FROM base),
         timed AS (SELECT *, {CHANGES_SQL}, 24 AS forecast_horizon_hours, datetime AS issue_datetime,
@@ -461,9 +460,7 @@ def _in(f: str, y: str, n: int) -> str:
     return f"{f}({y}) FILTER (datetime BETWEEN {_R} - INTERVAL {n - 1} HOUR AND {_R})"
 
 
-_SCORING_SQL = with_sql(
-    P_HOUR,
-    f""", hist AS (SELECT zone, datetime, demand_mw FROM p_hour WHERE datetime BETWEEN {_R} - INTERVAL 388 HOUR AND {_R}),
+SCORING_CTES = f"""hist AS (SELECT zone, datetime, demand_mw FROM p_hour WHERE datetime BETWEEN {_R} - INTERVAL 388 HOUR AND {_R}),
     grid AS (SELECT zone, unnest(generate_series(min(datetime), {_R}, INTERVAL 1 HOUR)) AS datetime FROM hist GROUP BY zone),
     regular AS (SELECT g.zone, g.datetime, h.demand_mw AS y, CASE WHEN h.demand_mw IS NOT NULL THEN g.datetime END AS known
                 FROM grid g LEFT JOIN hist h ON h.zone = g.zone AND h.datetime = g.datetime),
@@ -486,8 +483,8 @@ _SCORING_SQL = with_sql(
     zt AS (SELECT zone, datetime AS target_datetime, temperature_c AS t, relative_humidity_pct AS rh FROM p_hour
            WHERE datetime >= {_R} AND datetime < {_R} + INTERVAL 25 HOUR),
     tt AS (SELECT zone, target_datetime, t, rh FROM zt UNION ALL
-           SELECT 'Total', target_datetime, {_weighted('t')}, {_weighted('rh')} FROM zt GROUP BY target_datetime)
-    SELECT tt.zone, target_datetime, date_diff('hour', {_R}, target_datetime) AS forecast_horizon_hours,
+           SELECT 'Total', target_datetime, {_weighted('t')}, {_weighted('rh')} FROM zt GROUP BY target_datetime)"""
+SCORING_SELECT = f"""SELECT tt.zone, target_datetime, date_diff('hour', {_R}, target_datetime) AS forecast_horizon_hours,
            demand_lag_1h, demand_lag_24h, demand_lag_168h, demand_rolling_mean_24h, demand_rolling_std_168h,
            CASE WHEN abs(demand_lag_24h) > 1e-6 THEN (d0 - demand_lag_24h) / demand_lag_24h * 100 END AS demand_pct_change_24h,
            temperature_lag_24h, temperature_rolling_mean_72h, t AS weather_target_temperature_c,
@@ -495,8 +492,8 @@ _SCORING_SQL = with_sql(
            sin(2 * pi() * hour(target_datetime) / 24) AS target_hour_sin,
            cos(2 * pi() * dayofyear(target_datetime) / CAST(365.25 AS DOUBLE)) AS target_day_of_year_cos,
            precipitation_rolling_sum_24h
-    FROM tt LEFT JOIN demand ON demand.zone = tt.zone LEFT JOIN weather ON weather.zone = tt.zone""",
-)
+    FROM tt LEFT JOIN demand ON demand.zone = tt.zone LEFT JOIN weather ON weather.zone = tt.zone"""
+_SCORING_SQL = with_sql(P_HOUR, f", {SCORING_CTES} {SCORING_SELECT}")
 
 
 @check(

@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterable
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+import numpy as np
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.operators.blocks import as_keys
+from panelcast.operators.gram import Gram, gram
 from panelcast.operators.ranking import rank_average, top_n_per_group
 from panelcast.session import settle
 
@@ -90,63 +92,59 @@ def check_weights(zones: DataFrame, tolerance: float = 0.01) -> DataFrame:
     )
 
 
+def _drawn(key, seed: int) -> Column:
+    """Hexadecimal digits that any engine computes alike from the seed and the texts of the key."""
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in as_keys(key)]).cast("binary"))
+
+
 def sample(df: DataFrame, fraction: float, key, seed: int = 42) -> DataFrame:
-    """Bernoulli sample that a rerun repeats exactly: membership is a hash of the key."""
-    bucket = F.pmod(F.xxhash64(F.lit(seed), *as_keys(key)), F.lit(1_000_000))
-    return df.filter(bucket < int(round(fraction * 1_000_000)))
+    """Bernoulli sample that a rerun, here or in another engine, repeats exactly: membership is the MD5 of the key.
+
+    A row is drawn where the first 32 bits lie below the ``fraction`` of their range.
+    """
+    if fraction >= 1:
+        return df
+    bound = f"{int(max(fraction, 0.0) * 2**32):08x}"
+    return df.filter(F.substring(_drawn(key, seed), 1, 8) < bound)
 
 
 def sample_n(df: DataFrame, n: int, key, seed: int = 42) -> DataFrame:
-    """n rows in hash order of the key; each task keeps n rows, no full sort."""
-    return df.orderBy(F.xxhash64(F.lit(seed), *as_keys(key)), *as_keys(key)).limit(n)
+    """n rows in the order of the MD5 of the key; each task keeps n rows, no full sort.
+
+    A sample repeats only where the key tells all rows apart.
+    """
+    return df.orderBy(_drawn(key, seed), *as_keys(key)).limit(n)
 
 
-def _complete(df: DataFrame, columns: list[str]) -> DataFrame:
-    return df.select(*[F.col(c).cast("double").alias(c) for c in columns]).dropna()
+def complete_gram(df: DataFrame, columns: Iterable[str]) -> Gram:
+    """Means and products over the rows in which every column has a value."""
+    columns = list(dict.fromkeys(columns))
+    return gram(df.select(*[F.col(c).cast("double").alias(c) for c in columns]).dropna(), columns)
+
+
+def target_correlations(g: Gram, features: Iterable[str], y: str) -> dict[str, float | None]:
+    """Absolute correlation of each feature with the target; none for a constant."""
+    found = np.abs(g.correlations()[g.names.index(y)])
+    return {f: None if np.isnan(found[k]) else float(found[k]) for f, k in zip(features, g.at(features))}
 
 
 def corr_with_target(df: DataFrame, features: Iterable[str], y: str, threshold: float = 0.05) -> DataFrame:
-    """Absolute correlation of each feature with the target on complete rows, in one pass."""
+    """Absolute correlation of each feature with the target on complete rows."""
     features = list(features)
-    one = _complete(df, [*features, y]).agg(*[F.abs(F.corr(f, y)).alias(f) for f in features])
-    long = one.unpivot([], features, "feature", "correlation")
+    found = target_correlations(complete_gram(df, [*features, y]), features, y)
+    long = df.sparkSession.createDataFrame(list(found.items()), "feature string, correlation double")
     return long.withColumn("is_low", (F.col("correlation") < threshold).cast("int"))
 
 
-PAIRS_PER_AGGREGATE = 300
-
-
 def collinear_pairs(df: DataFrame, features: Iterable[str], threshold: float = 0.9) -> DataFrame:
-    """Feature pairs whose absolute correlation exceeds the threshold.
+    """Feature pairs whose absolute correlation on complete rows exceeds the threshold.
 
-    A short list is one aggregate; a long one goes through the distributed correlation matrix,
-    whose driver-side result has one cell per feature pair and does not grow with the rows.
+    One cell per pair of features reaches the driver, however many rows there are.
     """
-    features = list(features)
-    pairs = list(combinations(features, 2))
-    rows = _complete(df, features)
-    if len(pairs) <= PAIRS_PER_AGGREGATE:
-        one = rows.agg(*[F.abs(F.corr(a, b)).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
-        cells = [
-            F.struct(
-                F.lit(a).alias("feature_1"), F.lit(b).alias("feature_2"), F.col(f"p{i}").alias("correlation")
-            )
-            for i, (a, b) in enumerate(pairs)
-        ]
-        long = one.select(F.inline(F.array(*cells)))
-    else:
-        from pyspark.ml.feature import VectorAssembler
-        from pyspark.ml.stat import Correlation
-
-        vectors = VectorAssembler(inputCols=features, outputCol="_x").transform(rows)
-        matrix = Correlation.corr(vectors, "_x").first()[0].toArray()
-        values = [
-            (features[i], features[j], float(abs(matrix[i, j])))
-            for i, j in combinations(range(len(features)), 2)
-        ]
-        schema = "feature_1 string, feature_2 string, correlation double"
-        long = df.sparkSession.createDataFrame(values, schema)
-    return long.filter((F.col("correlation") > threshold) & ~F.isnan("correlation"))
+    g = complete_gram(df, features)
+    found = np.abs(g.correlations())
+    pairs = [(a, b, float(found[i, j])) for (i, a), (j, b) in combinations(enumerate(g.names), 2) if found[i, j] > threshold]
+    return df.sparkSession.createDataFrame(pairs, "feature_1 string, feature_2 string, correlation double")
 
 
 def combined_rank(scores: DataFrame, a: str = "correlation", b: str = "importance") -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelcast.operators.series import interpolate_linear, regularize
 from panelcast.operators.windows import lag_exact
 
 # Weights and made-up coordinates of the five event zones.
@@ -104,6 +105,12 @@ def repeated_panel(events: DataFrame) -> DataFrame:
     return first.unionByName(again)
 
 
+def steady_panel(events: DataFrame) -> DataFrame:
+    """The hourly panel with the first two hours of every gap of demand filled linearly, so that windows have no holes."""
+    grid = regularize(hourly_panel(events), "zone", "datetime")
+    return interpolate_linear(grid, "zone", "datetime", "demand_mw")
+
+
 def forecast_panel(events: DataFrame, hi: int = 168) -> DataFrame:
     """Issues times horizons with actuals and a seasonal-naive prediction.
 
@@ -180,5 +187,5 @@ def totals_with_zones(panel: DataFrame, label: str = "Total") -> DataFrame:
 
 __all__ = [
     "EVENT_WEIGHTS", "EVENT_ZONES", "Tables", "daily_panel", "dense_interval_panel", "forecast_panel", "hourly_panel",
-    "interval_panel", "production_panel", "repeated_panel", "target_panel", "totals_with_zones", "upsert_sides", "wide_panel",
+    "interval_panel", "production_panel", "repeated_panel", "steady_panel", "target_panel", "totals_with_zones", "upsert_sides", "wide_panel",
 ]

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from frames import series
 from panelcast.functions import scalars as sc
 from panelcast.operators import aggregate as ag
+from panelcast.operators.gram import gram
 from panelcast.operators import evaluation as ev
 from panelcast.operators import projection as pr
 from panelcast.operators import quality as q
@@ -161,13 +162,11 @@ def test_samples_repeat(spark):
     assert ag.sample_n(df, 7, "id").collect() == ag.sample_n(df.repartition(5), 7, "id").collect()
 
 
-def test_both_collinearity_forms_agree(spark):
+@pytest.mark.parametrize("block", [1, 3, 12])
+def test_collinear_pairs_do_not_depend_on_blocks(spark, monkeypatch, block):
     df = spark.range(200).selectExpr("id AS a", "id * 2 + id % 3 AS b", "id % 7 AS c", "-id AS d")
-    few = ag.collinear_pairs(df, ["a", "b", "c", "d"])
-    limit, ag.PAIRS_PER_AGGREGATE = ag.PAIRS_PER_AGGREGATE, 1
-    try:
-        many = ag.collinear_pairs(df, ["a", "b", "c", "d"])
-        rounded = [f.select("feature_1", "feature_2", F.round("correlation", 9).alias("r")) for f in (few, many)]
-        assert sorted(map(tuple, rounded[0].collect())) == sorted(map(tuple, rounded[1].collect()))
-    finally:
-        ag.PAIRS_PER_AGGREGATE = limit
+    monkeypatch.setattr(ag, "gram", lambda rows, names: gram(rows, names, block=block))
+    pairs = {(r.feature_1, r.feature_2): r.correlation for r in ag.collinear_pairs(df, ["a", "b", "c", "d"]).collect()}
+    exact = df.selectExpr("abs(corr(a, b)) AS ab", "abs(corr(b, d)) AS bd").first()
+    assert set(pairs) == {("a", "b"), ("a", "d"), ("b", "d")}
+    assert (pairs["a", "b"], pairs["a", "d"], pairs["b", "d"]) == pytest.approx((exact.ab, 1.0, exact.bd))
