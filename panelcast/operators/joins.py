@@ -2,34 +2,57 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.functions.timecols import add_hours
 from panelcast.operators.blocks import as_keys
 from panelcast.schemas import require_columns
 
+
+#: A key of at least one in so many rows is spread over tasks. At most as many keys are.
+HEAVY_KEYS = 256
+#: Keys that the sketch of frequent keys follows at once: it is wrong by a few in ten thousand rows at most.
+TRACKED = 10_000
+
+
 def default_salts(df: DataFrame) -> int:
-    """A sixteenth of the shuffle partitions, between 8 and 64."""
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(64, max(8, partitions // 16))
+    """Tasks over which a heavy key is spread: as many as a shuffle has, two at least."""
+    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def key_hash(keys: list[str]) -> Column:
+    return F.xxhash64(*keys)
+
+
+def heavy_keys(df: DataFrame, keys: list[str], most: int = HEAVY_KEYS) -> Column:
+    """Hashes of the keys that hold at least one in ``most`` rows, as a scalar of at most ``most`` entries.
+
+    They come from a mergeable sketch of frequent items. It may count a key a little too often, never too rarely,
+    so none is missed; one too many costs copies of a single row.
+    """
+    hashed = df.select(key_hash(keys).alias("_h"))
+    found = hashed.agg(F.expr(f"approx_top_k(_h, {2 * most}, {TRACKED})").alias("_top"), F.count(F.lit(1)).alias("_n"))
+    often = F.filter("_top", lambda x: x["count"] * most >= F.col("_n"))
+    return found.select(F.transform(often, lambda x: x["item"]).alias("_heavy")).scalar()
 
 
 def attach(df: DataFrame, stats: DataFrame, key, salts: int | None = None) -> DataFrame:
-    """Left join of per-key values onto many rows, with every key spread over ``salts`` tasks.
+    """Left join of per-key values onto many rows, in which no heavy key makes a large task.
 
-    ``stats`` holds one row per key and is repeated once per salt; what is still too large after
-    that, the adaptive skew join splits further. The salt comes from the row
-    and its input partition, not from a random number: equal rows of different tasks spread, and
-    a retried task sends its rows to the same place.
+    ``stats`` holds one row per key. Heavy keys are measured (``heavy_keys``, one more pass over ``df``), their rows
+    spread over ``salts`` tasks and their one row of ``stats`` repeated for each; all other keys are joined as they are,
+    without copies. The salt comes from the row and its input partition, not from a random number: equal rows of
+    different tasks spread, and a retried task sends its rows to the same place.
     """
     keys, salts = as_keys(key), salts or default_salts(df)
+    heavy = F.array_contains(heavy_keys(df, keys), key_hash(keys))
     spread = [c for c in df.columns if c not in keys]
     seed = F.xxhash64(*spread) if spread else F.lit(0)
     salt = F.pmod(seed + F.spark_partition_id(), F.lit(salts)).cast("int")
-    copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    left = df.withColumn("_salt", salt)
-    right = stats.withColumn("_salt", copies)
+    left = df.withColumn("_salt", F.when(heavy, salt).otherwise(0))
+    copies = F.when(heavy, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    right = stats.withColumn("_salt", F.explode(copies))
     return left.join(right, [*keys, "_salt"], "left").drop("_salt")
 
 

@@ -1,7 +1,8 @@
 """Order statistics: percentiles, ranks, top rows, running shares.
 
-Nothing here sorts an unbounded group in one task. Percentiles narrow the search with a sketch and
-then count exactly; ranks and running sums go bin by bin, with the few bin totals carried along.
+Nothing here sorts an unbounded group in one task. Percentiles narrow the search with sketches, in as many rounds as
+it takes, and count exactly; ranks and running sums go by ranges of rows of about equal number, with the totals of the
+ranges carried along.
 """
 
 from __future__ import annotations
@@ -16,7 +17,10 @@ from panelcast.operators.joins import attach, attach_one_row
 from panelcast.session import settle
 
 ACCURACY = 10_000
-BINS = 4096
+#: Values of a group that are put in order at the end of a search for percentiles.
+ORDERED = 100_000
+#: Parts into which a round of that search cuts what is left.
+PARTS = 64
 
 
 def _named(ps) -> dict[str, float]:
@@ -24,7 +28,7 @@ def _named(ps) -> dict[str, float]:
 
 
 def percentiles(
-    df: DataFrame, y: str, ps, by=(), accuracy: int = ACCURACY, stable: bool = False
+    df: DataFrame, y: str, ps, by=(), accuracy: int = ACCURACY, stable: bool = False, ordered: int = ORDERED
 ) -> DataFrame:
     """Exact percentiles with linear interpolation, one column each, per group.
 
@@ -35,7 +39,9 @@ def percentiles(
     1. a mergeable sketch gives, per group and share, two values that enclose the answer;
     2. one aggregate counts what lies below the enclosure and keeps the nearest value outside it
        on both sides (the sketch may be off by one row at either end);
-    3. only enclosed values, merged by value, are put in order.
+    3. only enclosed values, merged by value, are put in order. Where more than ``ordered`` rows are enclosed, the
+       merged values are cut into parts and counted again, round by round, until no more values than that are left
+       (see ``_narrowed``).
     """
     named = _named(ps)
     names, keys = list(named), as_keys(by) if by else []
@@ -85,7 +91,8 @@ def percentiles(
         )
     located = grouped(beside(rows, sketch), *enclosures)
     spots = F.array(*[F.col(f"_s{i}") for i in range(len(names))]).alias("_spots")
-    located = located.select(*keys, "_n", spots)
+    # one row per group, written so that the third pass and the test of its size see one sketch
+    located = settle(located.select(*keys, "_n", spots))
 
     # the third pass carries the enclosures with the rows, so all numbers stem from one sketch
     inside = F.filter("_spots", lambda s: value.between(s["lo"], s["hi"]))
@@ -94,11 +101,15 @@ def percentiles(
         .withColumn("_s", F.explode(inside))
         .groupBy(*keys, F.col("_s.i").alias("i"), "_v")
         .agg(F.count(F.lit(1)).alias("_c"), F.first("_n").alias("_n"), F.first("_s").alias("_s"), *labels)
+        .withColumn("_base", F.col("_s.below"))
     )
-    running = Window.partitionBy(*keys, "i").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     position = F.col("_s.share") * (F.col("_n") - 1)
-    end = F.col("_s.below") + F.sum("_c").over(running)
-    placed = merged.withColumns({"_pos": position, "_end": end})
+    merged = merged.withColumn("_pos", position)
+    if located.filter(F.exists("_spots", lambda s: (s["lo"] < s["hi"]) & (s["within"] > ordered))).limit(1).count():
+        # two neighbouring values are always needed
+        merged = _narrowed(merged, [*keys, "i"], max(ordered, 2))
+    running = Window.partitionBy(*keys, "i").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    placed = merged.withColumn("_end", F.col("_base") + F.sum("_c").over(running))
     start, lower, upper = F.col("_end") - F.col("_c"), F.floor("_pos"), F.ceil("_pos")
 
     def at(rank):
@@ -122,13 +133,52 @@ def percentiles(
     return grouped(wide, *labels, *columns).drop(*keys)
 
 
-def _binned(df: DataFrame, order: str, bins: int) -> DataFrame:
-    """Equal-width bin number of a numeric column over its exact range."""
-    ends = df.agg(F.min(order).alias("_min"), F.max(order).alias("_max"))
-    width = F.col("_max") - F.col("_min")
-    share = F.try_divide(F.col(order) - F.col("_min"), width)
-    number = F.least(F.floor(F.coalesce(share, F.lit(0.0)) * bins), F.lit(bins - 1))
-    return attach_one_row(df, ends).withColumn("_bin", number).drop("_min", "_max")
+def _narrowed(merged: DataFrame, keys: list[str], ordered: int) -> DataFrame:
+    """Only the values next to the ranks that are sought, at most ``ordered`` for each of ``keys``.
+
+    ``merged`` holds distinct values ``_v`` with their number of rows ``_c``, the rows below them all ``_base`` and the
+    position sought ``_pos``. A round cuts the values of each key into ``PARTS`` of about as many values, by a sketch,
+    sums up their rows, and keeps the parts that hold the ranks around the position. As parts are counted in distinct
+    values, a value that fills a third of the rows is one of many. Rows leave no task ordered; what a round writes is
+    read by the next.
+    """
+    while True:
+        merged = settle(merged)
+        sizes = merged.groupBy(*keys).agg(F.count(F.lit(1)).alias("_d"))
+        if not sizes.filter(F.col("_d") > ordered).limit(1).count():
+            return merged
+        shares = [k / PARTS for k in range(1, PARTS)]
+        cuts = merged.groupBy(*keys).agg(F.percentile_approx("_v", shares, ACCURACY).alias("_cuts"))
+        cut = attach(merged, cuts, keys).withColumn("_part", F.size(F.filter("_cuts", lambda c: c < F.col("_v")))).drop("_cuts")
+        facts = [F.first(c).alias(c) for c in ("_base", "_pos")]
+        totals = cut.groupBy(*keys, "_part").agg(F.sum("_c").alias("_rows"), *facts)
+        # at most PARTS rows for each key
+        before = Window.partitionBy(*keys).orderBy("_part")
+        end = F.col("_base") + F.sum("_rows").over(before.rowsBetween(Window.unboundedPreceding, 0))
+        last = F.sum("_rows").over(Window.partitionBy(*keys))
+        first, beyond = F.col("_base"), F.col("_base") + last - 1
+        lower = F.least(F.greatest(F.floor("_pos"), first), beyond)
+        upper = F.least(F.greatest(F.ceil("_pos"), first), beyond)
+        held = (
+            totals.withColumns({"_end": end, "_low": lower, "_high": upper})
+            .filter((F.col("_end") > F.col("_low")) & (F.col("_end") - F.col("_rows") <= F.col("_high")))
+            .groupBy(*keys)
+            .agg(F.min("_part").alias("_from"), F.max("_part").alias("_to"), F.min(F.col("_end") - F.col("_rows")).alias("_start"))
+        )
+        kept = attach(cut, held, keys).filter(F.col("_part").between(F.col("_from"), F.col("_to")))
+        merged = kept.withColumn("_base", F.col("_start")).drop("_part", "_from", "_to", "_start")
+
+
+def range_parts(df: DataFrame, order: list[Column], parts: int | None = None) -> DataFrame:
+    """The rows dealt to ``_part`` s of about equal number, in ``order``: every row of one part precedes the next part.
+
+    Bounds are quantiles of a sample, whatever the spread of the values. ``_row`` breaks ties, so a value on many rows
+    fills several parts. The parts are written: their rows do not move when they are read again.
+    """
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    numbered = df.withColumn("_row", F.monotonically_increasing_id())
+    dealt = numbered.repartitionByRange(parts, *order, F.col("_row"))
+    return settle(dealt.withColumn("_part", F.spark_partition_id()))
 
 
 def running_total(
@@ -137,32 +187,34 @@ def running_total(
     amount: Column,
     name: str,
     ties: Iterable[str] = (),
-    bins: int = BINS,
+    parts: int | None = None,
     stable: bool = False,
 ) -> DataFrame:
     """Sum of ``amount`` over all rows from the largest ``order`` down to the current row.
 
-    Bin totals are at most ``bins`` rows; only they meet in one task. Inside a bin the rows are
-    ordered locally, ``ties`` after the order column.
+    Rows are dealt to ranges of about equal size (``range_parts``); the totals of the ranges, one row for each, meet in
+    one task, and rows are ordered only inside their range, ``ties`` after the order column. Rows equal in all of
+    these come one after another in any order.
     """
-    rows = _binned((df if stable else settle(df)).withColumn("_amount", amount), order, bins)
-    totals = rows.groupBy("_bin").agg(F.sum("_amount").alias("_sum"))
-    above = Window.orderBy(F.desc("_bin")).rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.select("_bin", F.coalesce(F.sum("_sum").over(above), F.lit(0)).alias("_above"))
+    rows = (df if stable else settle(df)).withColumn("_amount", amount)
+    placed = range_parts(rows, [F.desc(order), *[F.col(t) for t in ties]], parts)
+    totals = placed.groupBy("_part").agg(F.sum("_amount").alias("_sum"))
+    above = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = totals.select("_part", F.coalesce(F.sum("_sum").over(above), F.lit(0)).alias("_above"))
     inside = (
-        Window.partitionBy("_bin")
-        .orderBy(F.desc(order), *ties)
+        Window.partitionBy("_part")
+        .orderBy(F.desc(order), *ties, "_row")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
     return (
-        rows.join(F.broadcast(carried), "_bin")
+        placed.join(F.broadcast(carried), "_part")
         .withColumn(name, F.col("_above") + F.sum("_amount").over(inside))
-        .drop("_bin", "_amount", "_above")
+        .drop("_part", "_row", "_amount", "_above")
     )
 
 
 def rank_average(
-    df: DataFrame, column: str, name: str | None = None, bins: int = BINS, stable: bool = False
+    df: DataFrame, column: str, name: str | None = None, parts: int | None = None, stable: bool = False
 ) -> DataFrame:
     """Rank from the largest value down; equal values share the mean of their ranks.
 
@@ -172,19 +224,19 @@ def rank_average(
     df = df if stable else settle(df)
     counted = df.groupBy(column).agg(F.count(F.lit(1)).alias("_c"))
     known = counted.filter(F.col(column).isNotNull())
-    ranked = running_total(known, column, F.col("_c"), "_upto", bins=bins, stable=True)
+    ranked = running_total(known, column, F.col("_c"), "_upto", parts=parts, stable=True)
     mean_rank = F.col("_upto") - (F.col("_c") - 1) / F.lit(2.0)
     return attach(df, ranked.select(column, mean_rank.alias(name)), column)
 
 
-def cumulative_share(df: DataFrame, column: str, ties: Iterable[str] = (), bins: int = BINS) -> DataFrame:
+def cumulative_share(df: DataFrame, column: str, ties: Iterable[str] = (), parts: int | None = None) -> DataFrame:
     """Percentage of the total per row and its running sum from the largest row down."""
     df = settle(df)
     total = df.agg(F.sum(column).alias("_total"))
     share = F.when(F.col("_total") > 0, F.col(column) / F.col("_total") * 100.0).otherwise(0.0)
     shares = attach_one_row(df, total).withColumn(f"{column}_pct", share).drop("_total")
     return running_total(
-        shares, column, F.col(f"{column}_pct"), f"cumulative_{column}_pct", ties=ties, bins=bins, stable=True
+        shares, column, F.col(f"{column}_pct"), f"cumulative_{column}_pct", ties=ties, parts=parts, stable=True
     )
 
 
