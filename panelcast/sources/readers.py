@@ -12,43 +12,63 @@ from pyspark.sql import types as T
 from panelcast.schemas import MissingColumns
 
 
-def _lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    return spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"))
+#: Files of up to so many bytes are read as one row each, so that a line meets its header without a join.
+WHOLE_FILE = 16 << 20
 
 
 def _fields(line: str = "value") -> Column:
     return F.transform(F.split(line, ","), lambda f: F.trim(f))
 
 
-def _with_header(lines: DataFrame, required: list[str], columns: list[str] | None) -> tuple[DataFrame, list[str], int]:
+def _named(line: Column, required: list[str]) -> Column:
+    """Whether a line holds every required name: a header."""
+    fields = F.transform(F.split(line, ","), lambda f: F.trim(f))
+    return F.forall(F.array(*[F.lit(c) for c in required]), lambda c: F.array_contains(fields, c))
+
+
+def _files(spark: SparkSession, paths: str | list[str], whole: int) -> tuple[DataFrame, DataFrame]:
+    """Files of up to ``whole`` bytes as (lines, file), larger ones as (value, file). Spark lists each file once."""
+    size, file = F.col("_metadata.file_size"), F.col("_metadata.file_path").alias("file")
+    small = spark.read.text(paths, wholetext=True).where(size <= whole)
+    large = spark.read.text(paths).where(size > whole)
+    return small.select(F.split("value", "\r\n|\n|\r").alias("lines"), file), large.select("value", file)
+
+
+def _with_header(
+    spark: SparkSession, paths: str | list[str], required: list[str], columns: list[str] | None, whole: int = WHOLE_FILE
+) -> tuple[DataFrame, list[str], int]:
     """Lines with the ``header`` of their own file, the names of all files in order of appearance, and the most fields.
 
     A header is the line that holds every required name. A file without one has the layout ``columns``, or is refused
-    when that is not given. Only distinct layouts reach the driver.
+    when that is not given. A file of ordinary size is one row until its header is known, so its lines are neither
+    shuffled nor read again; only files of more than ``whole`` bytes are joined with their headers, which are one row a
+    file. Only distinct layouts reach the driver.
     """
-    named = F.forall(F.array(*[F.lit(c) for c in required]), lambda c: F.array_contains(_fields(), c))
-    headers = lines.where(named).groupBy("file").agg(F.min("value").alias("header"))
-    layouts = headers.groupBy("header").agg(F.min("file").alias("file")).orderBy("file").collect()
+    small, large = _files(spark, paths, whole)
+    own = small.select("file", "lines", F.array_min(F.filter("lines", lambda x: _named(x, required))).alias("header"))
+    heads = large.where(_named(F.col("value"), required)).groupBy("file").agg(F.min("value").alias("header"))
+    known = own.select("header", "file").where("header IS NOT NULL").union(heads.select("header", "file"))
+    layouts = known.groupBy("header").agg(F.min("file").alias("file")).orderBy("file").collect()
     found = [name.strip() for row in layouts for name in row.header.split(",")]
     if columns is None and not layouts:
         raise MissingColumns("no header line holds " + ", ".join(required))
     names = columns or list(dict.fromkeys(found))
-    own = _fields("header")
     if columns is None:
         refused = F.raise_error(F.concat(F.lit("no header line in "), F.col("file"))).cast("array<string>")
     else:
         refused = F.array(*[F.lit(c) for c in columns])
-    placed = lines.join(headers, "file", "left").withColumn("header", F.when(F.col("header").isNotNull(), own).otherwise(refused))
+    lines = own.select(F.explode("lines").alias("value"), "file", "header").unionByName(large.join(heads, "file", "left"))
+    placed = lines.withColumn("header", F.when(F.col("header").isNotNull(), _fields("header")).otherwise(refused))
     return placed, names, max(len(columns or []), *[row.header.count(",") + 1 for row in layouts], 1)
 
 
-def _parse(lines: DataFrame, required: list[str], columns: list[str] | None, date_col: str) -> DataFrame:
+def _parse(spark: SparkSession, paths: str | list[str], required: list[str], columns: list[str] | None, date_col: str) -> DataFrame:
     """Lines whose date field holds a date, as columns by the header of their file; other lines fall away.
 
     A column that a file lacks is null in its rows. Every field is read as text first, as one malformed number must
     not cost the row.
     """
-    placed, names, width = _with_header(lines, required, columns)
+    placed, names, width = _with_header(spark, paths, required, columns)
     ddl = ", ".join(f"_{i} STRING" for i in range(width))
     trimmed = {"ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"}
     split = F.from_csv("value", ddl, trimmed)
@@ -78,7 +98,7 @@ def read_report_csv(
     so files may be split anywhere. Rows with a bad date or hour are dropped; every other column becomes a number or
     null.
     """
-    rows = _parse(_lines(spark, paths), [date_col, hour_col], columns, date_col)
+    rows = _parse(spark, paths, [date_col, hour_col], columns, date_col)
     rows = rows.dropna(subset=[date_col, hour_col]).withColumn(hour_col, F.col(hour_col).cast("int"))
     if start is not None:
         rows = rows.filter(F.col(date_col) >= F.lit(start))
@@ -97,7 +117,7 @@ def read_interval_feed(
     required = list(required)
     if columns is not None and (missing := [c for c in required if c not in columns]):
         raise MissingColumns("missing feed columns: " + ", ".join(missing))
-    rows = _parse(_lines(spark, paths), required, columns, "Date")
+    rows = _parse(spark, paths, required, columns, "Date")
     whole = {c: F.col(c).cast("int") for c in ("Hour", "Interval")}
     return rows.dropna(subset=["Date", "Hour", "Interval"]).withColumns(whole)
 

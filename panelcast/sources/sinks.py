@@ -71,6 +71,39 @@ def merge_rows(target: DataFrame, source: DataFrame, keys, update: Iterable[str]
     return joined.select(*out)
 
 
+def _refuse_null_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    """A null key matches nothing and would be inserted again by every load."""
+    refused = {k: F.when(F.col(k).isNull(), F.raise_error(F.lit(f"null in the key {k}"))).otherwise(F.col(k)) for k in keys}
+    return df.withColumns(refused)
+
+
+def touched_files(spark: SparkSession, path: str, fresh: DataFrame, keys: list[str], pruned_by: Iterable[str] = ()) -> list[str]:
+    """The files of a table that hold a key of ``fresh``, by full name.
+
+    Only the key columns are read, and of those only row groups whose smallest and largest values, which every file
+    keeps in its footer, reach into the range of the keys that come; ``pruned_by`` are directory columns that follow
+    from the key, so other directories are not read at all. What reaches the driver is names of files.
+    """
+    pruned = list(pruned_by)
+    table = spark.read.parquet(path).select(*keys, *pruned, F.col("_metadata.file_path").alias("_file"))
+    # numbers, texts and days come back from the driver exactly as they were
+    exact = [k for k, kind in fresh.select(*keys).dtypes if kind in ("int", "bigint", "smallint", "string", "date")]
+    if exact:
+        ends = fresh.agg(*[F.min(k) for k in exact], *[F.max(k) for k in exact]).first()
+        for i, k in enumerate(exact):
+            table = table.where(F.col(k).between(F.lit(ends[i]), F.lit(ends[i + len(exact)])))
+    if pruned:
+        table = table.join(fresh.select(*pruned).distinct(), pruned, "left_semi")
+    held = table.join(fresh.select(*keys), keys, "left_semi")
+    return sorted(r[0] for r in held.select("_file").distinct().collect())
+
+
+def _remove(spark: SparkSession, files: Iterable[str]) -> None:
+    for name in files:
+        place = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(name))
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, False)
+
+
 def upsert(
     spark: SparkSession,
     path: str,
@@ -79,32 +112,36 @@ def upsert(
     update: Iterable[str],
     partitions: dict[str, Column] | None = None,
     order: str | None = None,
+    by_key: bool = False,
 ) -> None:
-    """Upsert into a parquet table, rewriting only the partitions the source touches.
+    """Upsert into a parquet table, rewriting only the files that hold a key of the source.
 
-    ``partitions`` derives the directory columns from key columns, so a key never changes its
-    directory. The merged rows are settled before the write: the job neither reads what it is
-    overwriting nor recomputes from it if an executor is lost.
+    ``partitions`` names directory columns and their values for a row. Where they follow from the key alone
+    (``by_key``), a key never changes its directory and only directories of the source are searched. The merged rows
+    are settled, then written as new files beside the others, then the files they replace are removed. A load that was
+    lost between these steps leaves old and new rows of a key; loading the same source again finds both and leaves one.
     """
     keys, partitions = as_keys(keys), partitions or {}
     fresh = dedup_ordered(source, keys, [order], keep="last") if order else dedup_any(source, keys)
-    # a null key matches nothing and would be inserted again by every load
-    refused = {k: F.when(F.col(k).isNull(), F.raise_error(F.lit(f"null in the key {k}"))).otherwise(F.col(k)) for k in keys}
-    fresh = fresh.withColumns(refused)
-    fresh = fresh.withColumns(partitions) if partitions else fresh
+    fresh = _refuse_null_keys(fresh, keys).withColumns(partitions) if partitions else _refuse_null_keys(fresh, keys)
     if not _exists(spark, path):
         write_partitioned(fresh, path, partitions)
         return
-    target = spark.read.parquet(path)
-    if partitions:
-        names = list(partitions)
-        kinds = {f.name: f.dataType for f in target.schema.fields}
-        fresh = fresh.withColumns({n: F.col(n).cast(kinds[n]) for n in names})
-        touched = fresh.select(*names).distinct()
-        target = target.join(touched, names, "left_semi")
+    names = list(partitions)
+    whole = spark.read.parquet(path)
+    kinds = {f.name: f.dataType for f in whole.schema.fields}
     with settled_within(spark):
-        merged = settle(merge_rows(target, fresh, keys, update))
-        write_partitioned(merged, path, partitions, replace=not partitions)
+        fresh = settle(fresh.withColumns({n: F.col(n).cast(kinds[n]) for n in names if n in kinds}))
+        if fresh.isEmpty():
+            return
+        replaced = touched_files(spark, path, fresh, keys, names if by_key else ())
+        target = whole.where(F.col("_metadata.file_path").isin(replaced)) if replaced else whole.limit(0)
+        merged = merge_rows(target, fresh, keys, update).withColumns(partitions)
+        typed = merged.select(*[F.col(c).cast(kinds[c]).alias(c) for c in whole.columns])
+        merged = settle(dedup_any(typed, keys))
+        spread = _spread_files(merged, names, 4).write.mode("append")
+        (spread.partitionBy(*names) if names else spread).parquet(path)
+        _remove(spark, replaced)
 
 
 def ensure_table(

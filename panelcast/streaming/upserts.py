@@ -18,12 +18,13 @@ def stream_upsert(
     checkpoint: str,
     partitions: dict[str, Column] | None = None,
     order: str | None = None,
+    by_key: bool = False,
 ) -> DataStreamWriter:
-    """A writer that upserts each micro-batch; a replayed batch leaves the table unchanged."""
+    """A writer that upserts each micro-batch into the files it touches; a replayed batch leaves the table unchanged."""
     update = list(update)
 
     def apply(batch: DataFrame, _epoch: int) -> None:
         if not batch.isEmpty():
-            upsert(batch.sparkSession, path, batch, keys, update, partitions, order)
+            upsert(batch.sparkSession, path, batch, keys, update, partitions, order, by_key)
 
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)

@@ -2,6 +2,7 @@
 
 import json
 from datetime import date, datetime, timedelta
+from urllib.parse import urlparse
 
 import pytest
 from pyspark.sql import functions as F
@@ -123,6 +124,77 @@ def test_upsert_touches_only_listed_columns_and_partitions(spark, tmp_path):
     assert before == after
 
 
+def _files(path) -> set[str]:
+    return {str(f) for f in path.rglob("*.parquet")}
+
+
+def test_upsert_leaves_files_without_its_keys_alone(spark, tmp_path):
+    path = str(tmp_path / "t")
+    base = spark.range(0, 1000, 1, 10).selectExpr("id AS k", "id * 1.0D AS v", "id % 2 AS part")
+    sk.append_evolving(base, path, ["part"])
+    before = _files(tmp_path / "t")
+    assert len(before) == 20
+    change = spark.createDataFrame([(105, -1.0, 1), (107, -2.0, 1), (5000, 9.0, 0)], "k long, v double, part long")
+    fresh = change.withColumn("part", F.col("part"))
+    held = sk.touched_files(spark, path, fresh, ["k"])
+    assert len(held) == 1 and {urlparse(f).path for f in held} <= before
+    sk.upsert(spark, path, change, "k", ["v"], {"part": F.col("k") % 2})
+    assert before - _files(tmp_path / "t") == {urlparse(f).path for f in held}
+    got = {r.k: (r.v, r.part) for r in spark.read.parquet(path).collect()}
+    assert len(got) == 1001 and got[105] == (-1.0, 1) and got[107] == (-2.0, 1) and got[5000] == (9.0, 0) and got[106] == (106.0, 0)
+    # keys of no file: nothing is rewritten; nothing to load: nothing changes
+    before = _files(tmp_path / "t")
+    sk.upsert(spark, path, spark.createDataFrame([(-3, 0.0, 1)], change.schema), "k", ["v"], {"part": F.col("k") % 2})
+    assert before < _files(tmp_path / "t")
+    before = _files(tmp_path / "t")
+    sk.upsert(spark, path, change.limit(0), "k", ["v"], {"part": F.col("k") % 2})
+    assert before == _files(tmp_path / "t")
+
+
+def test_upsert_mends_a_load_that_was_lost_half_way(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    sk.upsert(spark, path, spark.range(20).selectExpr("id AS k", "0.0D AS v"), "k", ["v"])
+    change = spark.createDataFrame([(3, 1.0), (4, 2.0), (30, 3.0)], "k long, v double")
+    monkeypatch.setattr(sk, "_remove", lambda *_: None)  # lost before the replaced files go
+    sk.upsert(spark, path, change, "k", ["v"])
+    assert spark.read.parquet(path).count() > 21
+    monkeypatch.undo()
+    sk.upsert(spark, path, change, "k", ["v"])
+    got = {r.k: r.v for r in spark.read.parquet(path).collect()}
+    assert spark.read.parquet(path).count() == len(got) == 21
+    assert (got[3], got[4], got[30], got[5]) == (1.0, 2.0, 3.0, 0.0)
+
+
+def test_upsert_moves_a_row_whose_directory_changes(spark, tmp_path):
+    path, day = str(tmp_path / "t"), {"d": F.to_date("at")}
+    schema = "k int, at timestamp, v double"
+    sk.upsert(spark, path, spark.createDataFrame([(1, datetime(2024, 1, 1), 1.0), (2, datetime(2024, 1, 2), 2.0)], schema), "k", ["v"], day)
+    sk.upsert(spark, path, spark.createDataFrame([(1, datetime(2024, 1, 5), 7.0)], schema), "k", ["v", "at"], day)
+    assert sorted((r.k, str(r.d), r.v) for r in spark.read.parquet(path).collect()) == [(1, "2024-01-05", 7.0), (2, "2024-01-02", 2.0)]
+
+
+@pytest.mark.parametrize("whole", [0, 60, 1 << 20])
+def test_files_of_any_size_are_read_by_their_own_header(spark, tmp_path, monkeypatch, whole):
+    texts = {
+        "a.csv": "\\\\ Report\r\nDate,Hour,EAST\r\n2024-01-01,1,5\r\n2024-01-01,2,n/a\r\n",
+        "b.csv": "Hour,WEST,Date\n" + "".join(f"{h},{h * 10},2024-01-02\n" for h in range(1, 9)),
+        "c.csv": "Date , Hour , EAST , WEST\n2024-01-03,1,7,8",
+    }
+    for name, text in texts.items():
+        (tmp_path / name).write_text(text, newline="")
+    monkeypatch.setattr(rd._with_header, "__defaults__", (whole,))
+    rows = {(str(r.Date), r.Hour): (r.EAST, r.WEST) for r in rd.read_report_csv(spark, str(tmp_path)).collect()}
+    assert len(rows) == 11
+    assert rows["2024-01-01", 1] == (5.0, None) and rows["2024-01-01", 2] == (None, None)
+    assert rows["2024-01-02", 8] == (None, 80.0) and rows["2024-01-03", 1] == (7.0, 8.0)
+
+
+def test_ordinary_report_files_meet_their_header_without_a_join(spark, report):
+    plan = rd.read_report_csv(spark, report, columns=["Date", "Hour"])._jdf.queryExecution().optimizedPlan().toString()
+    small = plan.split("Union")[1].split("Join")[0]
+    assert "explode" in small and "Aggregate" not in small
+
+
 def test_upsert_takes_the_last_of_repeated_source_rows(spark, tmp_path):
     path = str(tmp_path / "t")
     source = spark.createDataFrame([(1, 1.0, 1), (1, 2.0, 2)], "k int, v double, seq int")
