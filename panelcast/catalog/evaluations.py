@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from panelcast.catalog.base import P_DAY, P_FORECAST, P_TOTALS, check, with_sql
 from panelcast.operators import evaluation as ev
-from panelcast.operators.modelling import choose_features
 from panelcast.operators.splits import with_folds
 from panelcast.plans import panels as pn
 from panelcast.plans.monitoring import evaluation_tables
@@ -105,38 +104,34 @@ _NAME = "list_extract([" + ", ".join(f"'{n}'" for n in ev.WEEKDAYS) + "], isodow
 _KIND = "CASE WHEN isodow(target_datetime) >= 6 THEN 'Weekend' ELSE 'Weekday' END"
 
 
-@check(
-    "metrics_by_time",
-    "time_dimension s, hour i, day_of_week i, day_name s, day_type s, mape d, mae d, rmse d, avg_demand d, n_samples i, bias_pct d",
-    with_sql(
-        ROWS,
-        " UNION ALL ".join(
-            [
-                _slice(
-                    "hour(target_datetime)", "hour", "hour(target_datetime)", "NULL", "NULL", "NULL",
-                    "avg(p - y) / nullif(avg(y), 0) * 100",
-                ),
-                _slice("isodow(target_datetime)", "day_of_week", "NULL", _DOW, _NAME, "NULL", "NULL"),
-                _slice(_KIND, "day_type", "NULL", "NULL", "NULL", _KIND, "NULL"),
-            ]
+_BY_TIME_COLUMNS = (
+    "time_dimension s, hour i, day_of_week i, day_name s, day_type s, mape d, mae d, rmse d, avg_demand d, n_samples i, bias_pct d"
+)
+_BY_TIME = " UNION ALL ".join(
+    [
+        _slice(
+            "hour(target_datetime)", "hour", "hour(target_datetime)", "NULL", "NULL", "NULL",
+            "avg(p - y) / nullif(avg(y), 0) * 100",
         ),
-    ),
+        _slice("isodow(target_datetime)", "day_of_week", "NULL", _DOW, _NAME, "NULL", "NULL"),
+        _slice(_KIND, "day_type", "NULL", "NULL", "NULL", _KIND, "NULL"),
+    ]
 )
+
+
+@check("metrics_by_time", _BY_TIME_COLUMNS, with_sql(ROWS, _BY_TIME))
 def _(t):
     return ev.metrics_by_time(_rows(t), Y, P)
 
 
+_BY_HORIZON_COLUMNS = "horizon_hours i, horizon_label s, mape d, mae d, rmse d, bias_pct d, r2 d, avg_demand d, n_samples i"
 _BY_HORIZON = f"""SELECT forecast_horizon_hours AS horizon_hours, 'H+' || forecast_horizon_hours AS horizon_label,
   {_mape()} AS mape, avg(abs(p - y)) AS mae, sqrt(avg((p - y) * (p - y))) AS rmse,
   avg(p - y) / nullif(avg(y), 0) * 100 AS bias_pct, {_r2()} AS r2, avg(y) AS avg_demand, count(*) AS n_samples
   FROM ok WHERE forecast_horizon_hours IN (1, 6, 12, 24, 48, 72, 96, 120, 144, 168) GROUP BY 1"""
 
 
-@check(
-    "metrics_by_horizon",
-    "horizon_hours i, horizon_label s, mape d, mae d, rmse d, bias_pct d, r2 d, avg_demand d, n_samples i",
-    with_sql(ROWS, _BY_HORIZON),
-)
+@check("metrics_by_horizon", _BY_HORIZON_COLUMNS, with_sql(ROWS, _BY_HORIZON))
 def _(t):
     return ev.metrics_by_horizon(_rows(t), Y, P)
 
@@ -157,21 +152,20 @@ def _(t):
     return ev.degradation(ev.metrics_by_horizon(_rows(t), Y, P), "horizon_hours", "mape")
 
 
-@check(
-    "error_distribution",
+_SPREAD_COLUMNS = (
     "error_mean d, error_std d, error_median d, error_abs_mean d, error_abs_median d, error_pct_mean d, error_pct_std d, "
-    + ", ".join(f"{n} d" for n in ev.DISTRIBUTION_SHARES),
-    with_sql(
-        ROWS,
-        "SELECT avg(p - y) AS error_mean, stddev_samp(p - y) AS error_std, quantile_cont(p - y, 0.5) AS error_median, "
-        "avg(abs(p - y)) AS error_abs_mean, quantile_cont(abs(p - y), 0.5) AS error_abs_median, "
-        "avg((p - y) / nullif(y, 0) * 100) AS error_pct_mean, stddev_samp((p - y) / nullif(y, 0) * 100) AS error_pct_std, "
-        + ", ".join(
-            f"quantile_cont(abs(p - y), CAST({q} AS DOUBLE)) AS {n}" for n, q in ev.DISTRIBUTION_SHARES.items()
-        )
-        + " FROM ok",
-    ),
+    + ", ".join(f"{n} d" for n in ev.DISTRIBUTION_SHARES)
+)
+_SPREAD = (
+    "SELECT avg(p - y) AS error_mean, stddev_samp(p - y) AS error_std, quantile_cont(p - y, 0.5) AS error_median, "
+    "avg(abs(p - y)) AS error_abs_mean, quantile_cont(abs(p - y), 0.5) AS error_abs_median, "
+    "avg((p - y) / nullif(y, 0) * 100) AS error_pct_mean, stddev_samp((p - y) / nullif(y, 0) * 100) AS error_pct_std, "
+    + ", ".join(f"quantile_cont(abs(p - y), CAST({q} AS DOUBLE)) AS {n}" for n, q in ev.DISTRIBUTION_SHARES.items())
+    + " FROM ok"
 )
+
+
+@check("error_distribution", _SPREAD_COLUMNS, with_sql(ROWS, _SPREAD))
 def _(t):
     return ev.error_distribution(_rows(t), Y, P)
 
@@ -350,30 +344,69 @@ def _(t):
     return ev.latest_issue_profile(_rows(t), Y, P)
 
 
+def _tables(t) -> dict:
+    return evaluation_tables(ev.finite_pairs(_rows(t), Y, P), "24h", "run", datetime(2024, 2, 1))
+
+
+_STAMP = "TIMESTAMP '2024-02-01 00:00:00' AS evaluation_time, '24h' AS model_type, 'run' AS model_run_id"
+_STAMPED = "evaluation_time t, model_type s, model_run_id s"
+
+
 @check(
-    "choose_features",
-    "candidate s, actual_feature_count i, wape d, mae d",
+    "evaluation_global",
+    f"{FULL}, test_period_start t, test_period_end t, {_STAMPED}",
     with_sql(
         ROWS,
-        f""", c AS (SELECT zone AS candidate, dense_rank() OVER (ORDER BY zone) AS actual_feature_count, wape, mae
-                   FROM (SELECT zone, {metrics_sql()} FROM ok GROUP BY zone))
-           SELECT * FROM c WHERE wape <= (SELECT min(wape) FROM c) + 2.5
-           ORDER BY actual_feature_count, wape, mae LIMIT 1""",
+        f"""SELECT {full_sql()}, min(target_datetime) AS test_period_start, max(target_datetime) AS test_period_end, {_STAMP}
+            FROM ok""",
     ),
 )
 def _(t):
-    # one result row per candidate; the zones stand in for feature sets of growing size
-    results = ev.metrics(_rows(t), Y, P, "zone").withColumnRenamed("zone", "candidate")
-    sizes = {name: i + 1 for i, (name, *_) in enumerate(sorted(pn.EVENT_ZONES))}
-    pairs = [F.lit(x) for pair in sizes.items() for x in pair]
-    sized = results.withColumn("actual_feature_count", F.try_element_at(F.create_map(*pairs), F.col("candidate")))
-    return choose_features(sized, 2.5)
+    return _tables(t)["model_performance_global"]
+
+
+@check("evaluation_by_zone", f"zone s, {FULL}, {_STAMPED}", with_sql(ROWS, f"SELECT zone, {full_sql()}, {_STAMP} FROM ok GROUP BY zone"))
+def _(t):
+    return _tables(t)["model_performance_by_zone"]
+
+
+@check(
+    "evaluation_by_time",
+    f"{_BY_TIME_COLUMNS}, {_STAMPED}",
+    with_sql(ROWS, f"SELECT *, {_STAMP} FROM ({_BY_TIME})"),
+)
+def _(t):
+    return _tables(t)["model_performance_by_time"]
+
+
+@check(
+    "evaluation_by_horizon",
+    f"{_BY_HORIZON_COLUMNS}, {_STAMPED}",
+    with_sql(ROWS, f"SELECT *, {_STAMP} FROM ({_BY_HORIZON})"),
+)
+def _(t):
+    return _tables(t)["model_performance_by_horizon"]
+
+
+@check(
+    "evaluation_errors",
+    f"{_SPREAD_COLUMNS}, {_STAMPED}",
+    with_sql(ROWS, f"SELECT *, {_STAMP} FROM ({_SPREAD})"),
+)
+def _(t):
+    return _tables(t)["model_error_distribution"]
 
 
 @check(
     "evaluation_sample",
-    "zone s, target_datetime t, actual_demand_mw d, predicted_demand_mw d, error_mw d, error_pct d, model_type s",
+    f"zone s, target_datetime t, actual_demand_mw d, predicted_demand_mw d, error_mw d, error_pct d, {_STAMPED}",
+    with_sql(
+        ROWS,
+        f"""SELECT zone, target_datetime, y AS actual_demand_mw, p AS predicted_demand_mw, p - y AS error_mw,
+               (p - y) / nullif(y, 0) * 100 AS error_pct, {_STAMP} FROM ok
+            ORDER BY md5('42|' || zone || '|' || strftime(target_datetime, '%Y-%m-%d %H:%M:%S') || '|' || forecast_horizon_hours),
+                     zone, target_datetime, forecast_horizon_hours LIMIT 1000""",
+    ),
 )
 def _(t):
-    rows = ev.finite_pairs(_rows(t), Y, P)
-    return evaluation_tables(rows, "24h", "run", datetime(2024, 2, 1))["model_predictions_sample"]
+    return _tables(t)["model_predictions_sample"]

@@ -57,10 +57,13 @@ def with_calendar(
         dimension = days.withColumns(more("calendar_date")) if extra else days
         dimension = dimension.withColumnRenamed("calendar_date", date_col)
         joined = lookup(df, dimension.withColumn("_known", F.lit(1)), date_col)
-        # a date outside the years is worked out in its row
+        # a date outside the years is worked out in its row, all columns in one branch that other rows pass by
         own = {**H.calendar_flags(date_col), **more(date_col)}
-        filled = {c: F.when(F.col("_known").isNull(), own[c]).otherwise(F.col(c)) for c in [*flags, *more("calendar_date")]}
-        return joined.withColumns(filled).drop("_known")
+        added = [*flags, *more("calendar_date")]
+        here = F.struct(*[own[c].alias(c) for c in added])
+        day = F.when(F.col("_known").isNull(), here).otherwise(F.struct(*added))
+        kept = [c for c in df.columns if c not in added]
+        return joined.select(*kept, day.alias("_day")).select(*kept, *[F.col(f"_day.{c}").alias(c) for c in added])
     return df.withColumns({**H.calendar_flags(date_col), **more(date_col)})
 
 

@@ -1,13 +1,14 @@
 """Recursive forecasts: each hour is predicted from features of the hours before it, predicted ones included.
 
 The state of a series is one array: the demand of every hour from ``MEMORY`` hours before the reference time up to
-the last hour known or predicted, null where none is. All features are expressions of that array. A linear model is
-folded over the hours inside one expression, so a series is one row from start to end. Any other fitted model takes
-one distributed step per hour, over one row per series.
+the last hour known or predicted, null where none is. All features are expressions of that array. A linear model, and
+a tree ensemble written as an expression, are folded over the hours inside one expression, so a series is one row from
+start to end. Any other fitted model takes one distributed step per hour, over one row per series.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime, timedelta
 from functools import reduce
 
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from panelcast.functions.scalars import pct_change, safe_ratio
 from panelcast.operators.quality import dedup_any
 from panelcast.operators.series import continuous_history, history_slice
+from panelcast.operators.trees import Forest
 from panelcast.session import settle
 
 #: Hours before the reference time that features may look back on.
@@ -85,6 +87,43 @@ def hours_ahead(targets: DataFrame, ref: datetime, hours: int, key: str, inputs:
     return dedup_any(scope.select(key, "target_datetime", step.alias("_step"), *inputs), [key, "_step"])
 
 
+def _folded(
+    predicted: Callable[[Callable[[str], Column]], Column],
+    names: list[str],
+    history: DataFrame,
+    targets: DataFrame,
+    ref: datetime,
+    hours: int,
+    key: str,
+    ts: str,
+    y: str,
+) -> DataFrame:
+    """Fold ``predicted`` over the hours; it is given a function from the name of an input to its value in that hour."""
+    inputs = [c for c in names if c in targets.columns and c != key]
+    ahead = hours_ahead(targets, ref, hours, key, inputs)
+    given = F.struct("target_datetime", *[F.col(c).cast("double").alias(c) for c in inputs])
+    planned = ahead.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("_step", given.alias("t")))).alias("plan"))
+    rows = start_states(history, ref, key, ts, y).join(planned, key)
+
+    def following(state: Column, step: Column) -> Column:
+        target = F.try_element_at(F.col("plan"), step)
+        known = state_features(state)
+
+        def at_hand(name: str) -> Column:
+            return F.col(key) if name == key else known.get(name, target[name] if name in inputs else F.lit(None))
+
+        # bound once an hour, however often the model asks for an input
+        asked = F.struct(*[at_hand(n).alias(n) for n in names], F.lit(0).alias("_"))
+        value = F.get(F.transform(F.array(asked), lambda x: predicted(lambda n: x[n])), 0)
+        return F.array_append(state, F.when(target.isNotNull(), value))
+
+    run = F.aggregate(F.sequence(F.lit(1), F.lit(hours)), F.col("state"), following)
+    ends = rows.select(key, "plan", F.slice(run, -hours, hours).alias("predicted"))
+    found = ends.select(key, "plan", F.posexplode("predicted").alias("_at", "predicted_demand_mw"))
+    at = F.try_element_at(F.col("plan"), F.col("_at") + 1)["target_datetime"]
+    return found.select(key, at.alias("target_datetime"), "predicted_demand_mw").where("target_datetime IS NOT NULL")
+
+
 def score_recursive(
     coefficients: dict[str, float],
     intercept: float,
@@ -103,27 +142,31 @@ def score_recursive(
     or 0. An hour without a target gets no prediction and stays unknown to the later ones.
     """
     fill = fill or {}
-    inputs = [c for c in coefficients if c in targets.columns and c != key]
-    ahead = hours_ahead(targets, ref, hours, key, inputs)
-    given = F.struct("target_datetime", *[F.col(c).cast("double").alias(c) for c in inputs])
-    planned = ahead.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("_step", given.alias("t")))).alias("plan"))
-    rows = start_states(history, ref, key, ts, y).join(planned, key)
 
-    def following(state: Column, step: Column) -> Column:
-        target = F.try_element_at(F.col("plan"), step)
-        known = state_features(state)
-        terms = [
-            F.lit(weight) * F.coalesce(known.get(c, target[c] if c in inputs else F.lit(None)), F.lit(fill.get(c, 0.0)))
-            for c, weight in coefficients.items()
-        ]
-        value = F.when(target.isNotNull(), reduce(lambda a, b: a + b, terms, F.lit(float(intercept))))
-        return F.array_append(state, value)
+    def predicted(value: Callable[[str], Column]) -> Column:
+        terms = [F.lit(weight) * F.coalesce(value(c).cast("double"), F.lit(fill.get(c, 0.0))) for c, weight in coefficients.items()]
+        return reduce(lambda a, b: a + b, terms, F.lit(float(intercept)))
 
-    run = F.aggregate(F.sequence(F.lit(1), F.lit(hours)), F.col("state"), following)
-    ends = rows.select(key, "plan", F.slice(run, -hours, hours).alias("predicted"))
-    found = ends.select(key, "plan", F.posexplode("predicted").alias("_at", "predicted_demand_mw"))
-    at = F.try_element_at(F.col("plan"), F.col("_at") + 1)["target_datetime"]
-    return found.select(key, at.alias("target_datetime"), "predicted_demand_mw").where("target_datetime IS NOT NULL")
+    return _folded(predicted, list(coefficients), history, targets, ref, hours, key, ts, y)
+
+
+def score_recursive_trees(
+    forest: Forest,
+    history: DataFrame,
+    targets: DataFrame,
+    ref: datetime,
+    hours: int = 24,
+    key: str = "zone",
+    ts: str = "datetime",
+    y: str = "demand_mw",
+) -> DataFrame:
+    """The same for a tree ensemble, such as ``trees.forest_of`` a fitted one; a missing input takes its fill."""
+
+    def predicted(value: Callable[[str], Column]) -> Column:
+        numbers = F.struct(*[forest.input(n, value(n)).alias(n) for n in forest.inputs()], F.lit(0).alias("_"))
+        return F.get(F.transform(F.array(numbers), lambda x: forest.prediction(lambda n: x[n])), 0)
+
+    return _folded(predicted, forest.inputs(), history, targets, ref, hours, key, ts, y)
 
 
 def score_recursive_model(

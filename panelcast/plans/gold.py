@@ -218,7 +218,8 @@ def expand_with_targets(
 
     Same rows as expanding and then joining on the target time, but the coming values are
     gathered per issue in a bounded range frame before the rows multiply. What is shuffled is the
-    panel, not the panel times the number of horizons.
+    panel, not the panel times the number of horizons. Rows meet only rows that lie a whole number of
+    steps away, so a panel finer than the step gathers no more values than there are horizons either.
     """
     unit = step * MICRO
     picked = [F.col(c).alias(name) for c, name in columns.items()]
@@ -231,13 +232,13 @@ def expand_with_targets(
     # each task multiplies its rows: short blocks (halo copies are dropped before the rows multiply)
     # and a fixed task count keep the tasks small and even
     width = width or max(hi * step, 7 * DAY)
+    phased = df.withColumn("_phase", F.pmod(micros(ts), F.lit(unit)))
     gathered = over_time_blocks(
-        df, as_keys(key), ts, build, ahead=hi * step, width=width, tasks=default_tasks(df)
+        phased, [*as_keys(key), "_phase"], ts, build, ahead=hi * step, width=width, tasks=default_tasks(df)
     )
     now = micros(ts)
-    on_step = F.filter("_coming", lambda x: F.pmod(x["_t"] - now, F.lit(unit)) == 0)
     present = F.transform(
-        on_step,
+        "_coming",
         lambda x: F.struct(
             ((x["_t"] - now) / F.lit(unit)).cast("int").alias(horizon), *[x[n].alias(n) for n in columns.values()]
         ),
@@ -248,7 +249,7 @@ def expand_with_targets(
             h.alias(horizon), *[F.lit(None).cast(kinds[c]).alias(n) for c, n in columns.items()]
         ),
     )
-    kept = [c for c in gathered.columns if c != "_coming"]
+    kept = [c for c in gathered.columns if c not in ("_coming", "_phase")]
     expanded = gathered.select(*kept, F.inline(F.concat(present, absent)))
     return expanded.withColumn("target_datetime", add_hours(ts, horizon))
 

@@ -50,6 +50,7 @@ def evaluation_tables(
     errors = row_errors(pool, y, yhat).select(
         "zone",
         "target_datetime",
+        *horizon,
         F.col(y).alias("actual_demand_mw"),
         F.col(yhat).alias("predicted_demand_mw"),
         "error_mw",
@@ -60,7 +61,7 @@ def evaluation_tables(
         "model_performance_by_zone": metrics_full(predictions, y, yhat, "zone"),
         "model_performance_by_time": metrics_by_time(predictions, y, yhat),
         "model_error_distribution": error_distribution(predictions, y, yhat),
-        "model_predictions_sample": sample_n(errors, sample_rows, ["zone", "target_datetime"]),
+        "model_predictions_sample": sample_n(errors, sample_rows, ["zone", "target_datetime", *horizon]).drop(*horizon),
     }
     if has_horizon:
         tables["model_performance_by_horizon"] = metrics_by_horizon(predictions, y, yhat)

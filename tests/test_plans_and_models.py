@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from frames import START, gappy_panel
 from panelcast.operators import modelling as ml
-from panelcast.operators import recursive
+from panelcast.operators import recursive, trees
 from panelcast.operators import splits as sp
 from panelcast.operators.joins import attach, expand_horizons, join_target
 from panelcast.operators.series import demand_features_at
@@ -226,3 +226,49 @@ def test_first_recursive_hour_of_trees_equals_a_plain_prediction(spark):
     values = [r.demand_mw for r in history.orderBy("datetime").collect()]
     row = spark.createDataFrame([(values[-2], max(values[-3:]))], "demand_lag_1h double, demand_rolling_max_3h double")
     assert first == pytest.approx(ml.predict(model, row).first().prediction_mw)
+
+
+def test_trees_as_expressions_predict_like_the_pipeline(spark):
+    rows = [(["x", "y", "z"][i % 3], float(i % 17), float(i % 5) if i % 7 else None, float((i % 17) * 3 + (i % 5) + 10 * (i % 3))) for i in range(300)]
+    df = spark.createDataFrame(rows, "zone string, a double, b double, target double")
+    model = ml.fit_point(df, ["zone", "a", "b"], "target", "gbt", maxIter=4, maxDepth=3)
+    forest = trees.forest_of(model)
+    assert len(forest.trees) == 4 and set(forest.inputs()) <= {"zone", "a", "b"}
+    more = df.union(spark.createDataFrame([("new", 3.0, None, 0.0), (None, float("nan"), 2.0, 0.0)], df.schema))
+    scored = model.transform(more).withColumn("own", forest.prediction(lambda n: forest.input(n, F.col(n))))
+    assert scored.agg(F.max(F.abs(F.col("own") - F.col("prediction_mw")))).first()[0] < 1e-9
+    assert scored.where("own IS NULL").count() == 0
+
+
+def test_recursive_trees_in_one_expression_equal_the_steps(spark):
+    start = datetime(2024, 1, 1)
+    history = spark.createDataFrame([("z", start + timedelta(hours=h), 100.0 + (h * 37) % 50) for h in range(200)], "zone string, datetime timestamp, demand_mw double")
+    ref = start + timedelta(hours=199)
+    targets = spark.createDataFrame([("z", ref + timedelta(hours=h), float(h % 3)) for h in range(1, 7)], "zone string, target_datetime timestamp, heat double")
+    known = spark.createDataFrame([("z", 100.0 + i % 50, 150.0 - i % 9, float(i % 3), 90.0 + (i * 7) % 60) for i in range(200)], "zone string, demand_lag_1h double, demand_rolling_max_3h double, heat double, target double")
+    inputs = ["zone", "demand_lag_1h", "demand_rolling_max_3h", "heat"]
+    model = ml.fit_point(known, inputs, "target", "gbt", maxIter=3, maxDepth=3)
+    fold = recursive.score_recursive_trees(trees.forest_of(model), history, targets, ref, hours=6).orderBy("target_datetime").collect()
+    steps = recursive.score_recursive_model(model, inputs, history, targets, ref, hours=6).orderBy("target_datetime").collect()
+    assert len(fold) == 6
+    assert [r.predicted_demand_mw for r in fold] == pytest.approx([r.predicted_demand_mw for r in steps])
+
+
+def test_targets_of_a_five_minute_panel_gather_a_bounded_list(spark, monkeypatch):
+    start = datetime(2024, 1, 1)
+    rows = [("z", start + timedelta(minutes=5 * i), float(i)) for i in range(12 * 30)]
+    panel = spark.createDataFrame(rows, "zone string, datetime timestamp, demand_mw double")
+    longest = []
+
+    def gather(*args, real=gold.over_time_blocks, **options):
+        out = real(*args, **options)
+        longest.append(out.agg(F.max(F.size("_coming"))).first()[0])
+        return out
+
+    monkeypatch.setattr(gold, "over_time_blocks", gather)
+    out = gold.expand_with_targets(panel, {"demand_mw": "ahead"}, hi=24)
+    assert longest == [24]
+    assert out.columns == ["zone", "datetime", "demand_mw", "forecast_horizon_hours", "ahead", "target_datetime"]
+    got = {(r.datetime, r.forecast_horizon_hours): r.ahead for r in out.collect()}
+    values = {t: v for _, t, v in rows}
+    assert got == {(t, h): values.get(t + timedelta(hours=h)) for t in values for h in range(1, 25)}
