@@ -135,10 +135,11 @@ OP13_SQL = r"""
                     THEN list_transform(range(n), lambda i: CASE WHEN i < a THEN w[i + 1] ELSE w[a + (i - a) % (1 + (n - a) // (3 + g % 8)) + 1] END)
                     ELSE w END AS w
         FROM places),
-    grams AS (SELECT doc_id, n, i, w[i + 1 : i + 5] AS gram FROM (SELECT doc_id, n, w, unnest(range(n - 4)) AS i FROM texts WHERE n >= 6)),
+    grams AS (SELECT doc_id, n, i, array_to_string(w[i + 1 : i + 5], ' ') AS gram FROM (SELECT doc_id, n, w, unnest(range(n - 4)) AS i FROM texts WHERE n >= 6)),
+    again AS (SELECT doc_id, n, list(i) AS spots FROM grams GROUP BY doc_id, n, gram HAVING count(*) > 1),
     equal AS (
-        SELECT x.doc_id, y.i - x.i AS q, x.i FROM grams x JOIN grams y ON x.doc_id = y.doc_id AND x.gram = y.gram
-        WHERE y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+        SELECT doc_id, i, unnest(list_filter(spots, lambda j: j > i AND 4 * (j - i) <= n)) - i AS q
+        FROM (SELECT doc_id, n, spots, unnest(spots) AS i FROM again)),
     rows AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM equal),
     stretches AS (SELECT doc_id, q, min(i) AS start, count(*) + 4 + q AS length FROM rows GROUP BY doc_id, q, island),
     runs AS (
