@@ -77,7 +77,11 @@ def _(t):
     return ml.feature_importance(model, rows)
 
 
-@check("model_reload", "rows i, max_difference d")
+@check(
+    "model_reload",
+    "rows i, max_difference d",
+    with_sql(P_FORECAST, f"SELECT count(*) AS rows, CAST(0 AS DOUBLE) AS max_difference FROM p_forecast WHERE {P} IS NOT NULL AND {Y} IS NOT NULL"),
+)
 def _(t):
     rows = _naive(t)
     model = ml.fit_point(rows, ["lag_24_mw"], Y, "linear")

@@ -271,10 +271,39 @@ def _(t):
     return rows.withColumn("timestamp_5min", tc.interval_end("timestamp_hour", "interval"))
 
 
-@check("local_and_utc_times", "event_id i, local t, back t")
+# Toronto changes its clock on 10 March 2024 at 07:00 UTC and on 3 November 2024 at 06:00 UTC
+_MOVED = """moved AS (SELECT event_id, CASE WHEN event_id % 2 = 0 THEN TIMESTAMP '2024-03-10 00:00:00' ELSE TIMESTAMP '2024-11-03 00:00:00' END
+       + (ts - date_trunc('day', ts)) AS utc, minute(ts) AS m FROM events)"""
+
+
+@check(
+    "local_and_utc_times",
+    "event_id i, local t, back t, back_early t, skipped t",
+    f"""WITH {_MOVED}
+        SELECT event_id,
+               utc - CASE WHEN utc < TIMESTAMP '2024-03-10 07:00:00' OR utc >= TIMESTAMP '2024-11-03 06:00:00'
+                          THEN INTERVAL 5 HOUR ELSE INTERVAL 4 HOUR END AS local,
+               CASE WHEN utc >= TIMESTAMP '2024-11-03 05:00:00' AND utc < TIMESTAMP '2024-11-03 06:00:00'
+                    THEN utc + INTERVAL 1 HOUR ELSE utc END AS back,
+               CASE WHEN utc >= TIMESTAMP '2024-11-03 06:00:00' AND utc < TIMESTAMP '2024-11-03 07:00:00'
+                    THEN utc - INTERVAL 1 HOUR ELSE utc END AS back_early,
+               TIMESTAMP '2024-03-10 07:00:00' AS skipped FROM moved""",
+)
 def _(t):
-    local = t.events.select("event_id", tc.to_local("ts", "America/Toronto").alias("local"))
-    return local.withColumn("back", tc.to_utc("local", "America/Toronto"))
+    # the events of a month, moved to the two days on which the clock changes
+    zone, day = "America/Toronto", 24 * 3600 * 1_000_000
+    start = F.when(F.col("event_id") % 2 == 0, F.lit(datetime(2024, 3, 10))).otherwise(F.lit(datetime(2024, 11, 3)))
+    moved = F.timestamp_micros(F.unix_micros(start) + F.pmod(F.unix_micros("ts"), F.lit(day)))
+    utc = t.events.withColumn("ts", F.col("ts").cast("timestamp")).select("event_id", moved.alias("utc"), F.minute("ts").alias("m"))
+    local = utc.withColumn("local", tc.to_local("utc", zone))
+    gap = F.timestamp_add("MINUTE", F.col("m"), F.lit(datetime(2024, 3, 10, 2)))
+    return local.select(
+        "event_id",
+        "local",
+        tc.to_utc("local", zone).alias("back"),
+        tc.to_utc("local", zone, "daylight").alias("back_early"),
+        tc.to_utc(gap, zone).alias("skipped"),
+    )
 
 
 @check(
