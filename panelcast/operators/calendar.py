@@ -47,23 +47,20 @@ def with_calendar(
     """Holiday flags of a date column, and whatever ``extra`` derives from the date.
 
     With known, few years both come from a date dimension, worked out once per day instead of once
-    per row; dates outside of them are worked out in their rows. Without years every row computes
-    them, which needs no join at all.
+    per row. The years are a promise: a date of another year (beyond the year of padding on both sides) raises. Without
+    years every row computes them, which needs no join at all.
     """
     more = extra or (lambda _: {})
     if years and years[1] - years[0] < SPINE_YEARS:
         days = holiday_calendar(date_spine(df.sparkSession, *years))
-        flags = [c for c in days.columns if c != "calendar_date"]
         dimension = days.withColumns(more("calendar_date")) if extra else days
+        added = [c for c in dimension.columns if c != "calendar_date"]
         dimension = dimension.withColumnRenamed("calendar_date", date_col)
-        joined = lookup(df, dimension.withColumn("_known", F.lit(1)), date_col)
-        # a date outside the years is worked out in its row, all columns in one branch that other rows pass by
-        own = {**H.calendar_flags(date_col), **more(date_col)}
-        added = [*flags, *more("calendar_date")]
-        here = F.struct(*[own[c].alias(c) for c in added])
-        day = F.when(F.col("_known").isNull(), here).otherwise(F.struct(*added))
-        kept = [c for c in df.columns if c not in added]
-        return joined.select(*kept, day.alias("_day")).select(*kept, *[F.col(f"_day.{c}").alias(c) for c in added])
+        joined = lookup(df.drop(*added), dimension.withColumn("_known", F.lit(1)), date_col)
+        beyond = F.col("_known").isNull() & F.col(date_col).isNotNull()
+        refused = F.raise_error(F.concat(F.lit(f"outside the calendar of {years[0]} to {years[1]}: "), F.col(date_col).cast("string")))
+        # on every column, as any one may be the only one that is asked for
+        return joined.withColumns({c: F.when(beyond, refused).otherwise(F.col(c)) for c in added}).drop("_known")
     return df.withColumns({**H.calendar_flags(date_col), **more(date_col)})
 
 

@@ -50,6 +50,13 @@ def test_both_ways_to_the_calendar_agree(spark):
     assert joined.select(*computed.columns).exceptAll(computed).isEmpty()
 
 
+def test_a_date_outside_the_promised_years_is_refused(spark):
+    with pytest.raises(Exception, match="outside the calendar of 2024 to 2024: 2027-07-01"):
+        cal.with_calendar(days(spark, "2027-07-01"), "day", (2024, 2024)).select("is_civic_holiday").collect()
+    nothing = days(spark, "2024-07-01").select(F.lit(None).cast("date").alias("day"))
+    assert cal.with_calendar(nothing, "day", (2024, 2024)).first().is_holiday is None
+
+
 def test_neighbours_cross_the_year_end(spark):
     row = cal.adjacent_holiday(days(spark, "2023-12-31"), "day").first()
     assert (row.is_day_before_holiday, row.is_day_after_holiday) == (1, 0)
