@@ -50,6 +50,10 @@ class Gram:
         return found
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def numbers(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """The columns as doubles, flags as 0 and 1; what is no number is missing."""
     kinds = dict(df.dtypes)
@@ -69,16 +73,16 @@ def gram(df: DataFrame, columns: Iterable[str], block: int = BLOCK, settled: boo
     first = rows.agg(F.count(F.lit(1)), *[F.avg(c) for c in names]).first()
     means = np.array([m or 0.0 for m in first[1:]], dtype=float)
 
-    def beside(i: int) -> Column:
-        return F.coalesce(F.col(names[i]) - F.lit(float(means[i])), F.lit(0.0)).alias(f"c{i}")
+    # expressions as text: a call to the JVM for each of thousands of sums would take longer than the sums
+    def beside(i: int) -> str:
+        return f"coalesce({_quoted(names[i])} - ({float(means[i])!r}D), 0D) AS c{i}"
 
     parts = [range(k, min(k + block, len(names))) for k in range(0, len(names), block)]
     sums = []
     for one, other in combinations_with_replacement(parts, 2):
-        cells = [(i, j) for i in one for j in other if i <= j]
-        centred = rows.select(*[beside(i) for i in sorted({*one, *other})])
-        found = centred.agg(*[F.sum(F.col(f"c{i}") * F.col(f"c{j}")).alias(f"s{i}_{j}") for i, j in cells])
-        sums.append(found.select(F.lit(one[0]).alias("one"), F.lit(other[0]).alias("other"), F.array(*[f"s{i}_{j}" for i, j in cells]).alias("sums")))
+        cells = ", ".join(f"sum(c{i} * c{j})" for i in one for j in other if i <= j)
+        centred = rows.selectExpr(*[beside(i) for i in sorted({*one, *other})])
+        sums.append(centred.selectExpr(f"{one[0]} AS one", f"{other[0]} AS other", f"array({cells}) AS sums"))
     products = np.zeros((len(names), len(names)))
     for row in reduce(DataFrame.union, sums).collect() if sums else []:
         cells = [(i, j) for i in range(row.one, len(names))[:block] for j in range(row.other, len(names))[:block] if i <= j]
@@ -98,12 +102,12 @@ class LinearFit:
 
     def prediction(self) -> Column:
         """The prediction of a row, as an expression of its columns."""
-        out = F.lit(self.intercept)
+        terms = [f"({self.intercept!r}D)"]
         for name, b, mean in zip(self.inputs, self.coefficients, self.means):
             if b:
-                value = F.col(name).try_cast("double")
-                out = out + F.lit(b) * F.when(value.isNull() | F.isnan(value), mean).otherwise(value)
-        return out
+                value = f"nanvl(try_cast({_quoted(name)} AS DOUBLE), NULL)"
+                terms.append(f"({b!r}D) * coalesce({value}, {mean!r}D)")
+        return F.expr(" + ".join(terms))
 
 
 def nested_fits(g: Gram, y: str, order: Iterable[str], sizes: Iterable[int], left_over: float = LEFT_OVER) -> dict[int, LinearFit]:
