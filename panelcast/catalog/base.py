@@ -137,12 +137,12 @@ P_STEADY = (
   FROM p_grid LEFT JOIN p_raw p USING (zone, datetime)
   WINDOW b AS (PARTITION BY zone ORDER BY datetime ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
          a AS (PARTITION BY zone ORDER BY datetime ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
-), p_hour AS (
+), p_filled AS (
   SELECT * EXCLUDE (py, pt, ny, nt) REPLACE (
          CASE WHEN demand_mw IS NOT NULL THEN demand_mw WHEN epoch(datetime) - epoch(pt) <= 7200
               THEN py + (ny - py) * (epoch(datetime) - epoch(pt)) / (epoch(nt) - epoch(pt)) END AS demand_mw)
   FROM p_edges
-)"""
+), p_hour AS (SELECT * FROM p_filled WHERE demand_mw IS NOT NULL)"""
 )
 
 ZONE_NAMES = [zone for zone, *_ in EVENT_ZONES]

@@ -54,8 +54,12 @@ def score_features(gold: DataFrame, features=None, fraction: float | None = None
         rows = sample(rows, fraction, ["zone", "issue_datetime"])
     complete = settle(rows.dropna(subset=[*features, y]))
     correlation = corr_with_target(complete, features, y)
-    gains = feature_importance(fit_point(complete, features, y, settled=True), complete)
-    scores = correlation.join(gains.selectExpr("feature", "gain AS importance"), "feature", "left")
+    if complete.isEmpty():  # nothing to learn from: every feature scores alike
+        gains = complete.sparkSession.createDataFrame([], "feature string, importance double")
+    else:
+        found = feature_importance(fit_point(complete, features, y, settled=True), complete)
+        gains = found.selectExpr("feature", "gain AS importance")
+    scores = correlation.join(gains, "feature", "left")
     return combined_rank(scores)
 
 
