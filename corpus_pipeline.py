@@ -10,17 +10,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelcast.llm import bloom, cost_packing, exact_dedup, hyperminhash, quality_model, secrets
-from panelcast.llm.common import table, written
+from panelcast.llm.common import BATCH_SETTING, table, written
 from panelcast.llm.queries import WORD_TOKENIZER
 
 #: Id that ends a document.
 END_ID = 2
 #: Runs of five words; four fifths of them in common make two documents near copies.
 NEAR = hyperminhash.Rule(width=5, least=80, of=100)
+#: Bytes of a batch: executors keep what the stages before them have touched, so each stage takes little.
+BATCH_BYTES = "1m"
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the fixed rules and that the classifier finds likely to be of quality."""
+    spark.conf.set(BATCH_SETTING, BATCH_BYTES)
     model = quality_model.train(docs, table(spark, sf_dir, "labels"))
     return quality_model.keep_good(docs, model)
 
@@ -33,12 +36,14 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by near copies, the one with the smallest id."""
+    spark.conf.set(BATCH_SETTING, BATCH_BYTES)
     found = hyperminhash.near_duplicates(docs, NEAR)
     return bloom.without(docs, found.where("NOT kept").select("doc_id"), "doc_id")
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, with a mark in place of each secret, and the length that it then has."""
+    spark.conf.set(BATCH_SETTING, BATCH_BYTES)
     clean = secrets.redact(docs)
     if "n_chars" not in docs.columns:
         return clean
@@ -47,6 +52,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of at most 4096 tokens, with their ids."""
+    spark.conf.set(BATCH_SETTING, BATCH_BYTES)
     return cost_packing.pack(docs, WORD_TOKENIZER, END_ID)
 
 

@@ -12,13 +12,18 @@ from panelcast.session import shared_folder
 
 #: Bytes of rows in one Arrow batch. Texts run to megabytes, so rows alone bound nothing.
 BATCH_BYTES = "4m"
+#: Session setting that overrides the bytes of a batch.
+BATCH_SETTING = "panelcast.text.batchBytes"
 #: The six characters that separate words: \x20 and \x09 to \x0D.
 SPACES = b" \t\n\v\f\r"
 
 
 def bounded_batches(spark: SparkSession, size: str = BATCH_BYTES) -> None:
-    """Let the bytes, not the rows, bound what a Python worker receives at once."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+    """Let the bytes, not the rows, bound what a Python worker receives at once.
+
+    A session may set another size (``BATCH_SETTING``), as where the workers of several stages live side by side.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", spark.conf.get(BATCH_SETTING, size))
 
 
 def scratch(spark: SparkSession, name: str) -> str:
