@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.llm.bpe import vocabulary
-from panelcast.llm.common import bounded_batches, text_or_empty
+from panelcast.llm.common import bounded_batches, strings, text_or_empty
 
 LENGTH = 2048
 BLOCK_TOKENS = 1 << 20
@@ -145,11 +145,10 @@ def matrices(
 
         for batch in batches:
             name_type = batch.column(0).type
-            for name, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = words.encode(value or "") + end
+            for name, ids in zip(batch.column(0).to_pylist(), words.encode_all(strings(batch.column(1)))):
                 names.append(name)
-                coded.append(ids)
-                held += len(ids) // 4
+                coded.append(ids + end)
+                held += len(coded[-1]) // 4
                 if held >= block_tokens:
                     out = block(names, coded, following)
                     following += out.num_rows

@@ -3,7 +3,8 @@
 A pair of adjacent bytes that occurs inside no token of the vocabulary can never be merged over: it
 marks a certain cut. Each pre-token is cut at all such pairs, the fragments are encoded on their own
 and their ids are concatenated, which gives the ids of the whole. Words recur, so most are looked up
-in a bounded memory; only new ones are cut and merged.
+in a bounded memory; only new ones are cut and merged. Where words have ends, the new words of a run of
+texts go to the compiled merges in one call; as they are short, those need no cuts.
 
 Ids are bytes, little-endian unsigned 32-bit: they cross from Python to the JVM without boxing.
 """
@@ -13,7 +14,10 @@ from __future__ import annotations
 import heapq
 import json
 import re
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import compress, repeat
+from operator import is_
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +41,16 @@ WORD_END = b"\xff"
 MIXED_SPACE = re.compile(r"\s \s|  |\s \Z")
 #: Below this code point every Unicode version agrees on letters and numbers; above, the library splits.
 SETTLED = "ɐ"
+#: ``WORD_SPLIT`` for lower-case words below U+0180 that stand in lines; the ends of lines are kept.
+LINES_SPLIT = re.compile(
+    r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ſ]+|[0-9²³¹¼½¾]|[^\t-\r \x85\xa0a-zªµºß-öø-ſ0-9²³¹¼½¾]+|\n"
+)
+#: In UTF-8: a code point from U+0180 on, or the one below whose lower case is beyond.
+BEYOND_LINES = re.compile(rb"[\xc6-\xff]|\xc4\xb0")
 #: Words that a worker remembers in each of two generations, and the longest of them.
 REMEMBERED, LONGEST = 150_000, 48
+#: Words that are looked up at once.
+RUN = 1 << 14
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -61,10 +73,25 @@ class Memory(dict):
             ids = self.make(word)
             if len(word) > LONGEST:
                 return ids
-        if len(self) >= self.size:
+        self.keep({word: ids})
+        return ids
+
+    def keep(self, made: dict) -> None:
+        if len(self) + len(made) > self.size:
             self.older = dict(self)
             self.clear()
-        self[word] = ids
+        self.update(made)
+
+    def each(self, words: list, make_all) -> list[bytes]:
+        """Ids of every word; those of new words are made all at once."""
+        ids = list(map(self.get, words))
+        if None in ids:
+            unmet = dict.fromkeys(compress(words, map(is_, ids, repeat(None))))
+            met = {w: self.older[w] for w in unmet if w in self.older}
+            new = [w for w in unmet if w not in met]
+            met.update(zip(new, make_all(new)))
+            ids = [met[w] if i is None else i for w, i in zip(words, ids)]
+            self.keep({w: i for w, i in met.items() if len(w) <= LONGEST})
         return ids
 
 
@@ -97,13 +124,17 @@ class Vocabulary:
         self.inside = frozenset(pair for t in self.id_of for pair in zip(t, t[1:]))
         self.close = self._close()
         self.specials = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) or r"(?!)")
-        self.core, self.place = self._core(raw, merges)
+        self.core, self.lines_core, self.place = self._core(raw, merges)
+        if self.lines_core is not None:
+            self.places = np.frombuffer(b"".join(self.place), dtype="<u4")
+            (self.line_end,) = self.lines_core.encode_ordinary("\n ")
         self.words = Memory(self.lower_word if suffix else self.byte_word)
 
     def _core(self, raw, merges):
         """Merges in compiled form, ranked as the vocabulary ranks them, and the id of each rank.
 
-        A last byte first joins the mark of the word's end, before any merge of the vocabulary.
+        A last byte first joins the mark of the word's end, before any merge of the vocabulary. The second form is
+        for texts of pre-tokens, with a space for that mark: it cuts behind spaces.
         None where two merges make one token, as a rank of its own is then not known: see ``merged``.
         """
         first = [bytes([b]) for b in range(256)]
@@ -111,10 +142,15 @@ class Vocabulary:
             first += [b + WORD_END for b in first]
         made = [raw(a) + raw(b) for a, b in merges]
         if len({*first, *made}) < len(first) + len(made):
-            return None, None
+            return None, None, None
         order = {t: r for r, t in enumerate([*first, *made])}
         core = tiktoken.Encoding("vocabulary", pat_str=r"\S+", mergeable_ranks=order, special_tokens={})._core_bpe
-        return core, [np.uint32(self.id_of.get(t, 0)).tobytes() for t in order]
+        lines_core = None
+        if self.end:
+            swap = bytes.maketrans(WORD_END + b" ", b" " + WORD_END)
+            spaced = {t.translate(swap): r for t, r in order.items()}
+            lines_core = tiktoken.Encoding("lines", pat_str=r"[^ ]+ ", mergeable_ranks=spaced, special_tokens={})._core_bpe
+        return core, lines_core, [np.uint32(self.id_of.get(t, 0)).tobytes() for t in order]
 
     def _close(self) -> bytes:
         """Bytes of which any two may stand together in a token: words of these alone have no cut."""
@@ -205,6 +241,20 @@ class Vocabulary:
         text = word.decode()
         return self.plain(text.lower() if max(text) < SETTLED else self.library.normalizer.normalize_str(text))
 
+    def lower_words(self, words: list[bytes]) -> list[bytes]:
+        """``lower_word`` of many: the short ones below U+0180 are encoded in one call, as lines of a text."""
+        if self.lines_core is None:
+            return [self.lower_word(w) for w in words]
+        apart = {w: self.lower_word(w) for w in words if len(w) > LONGEST or not w.isascii() and BEYOND_LINES.search(w)}
+        lines = b"\n".join([*([w for w in words if w not in apart] if apart else words), b""]).decode().lower()
+        pieces = " ".join([*LINES_SPLIT.findall(lines), ""])
+        ranks = np.array(self.lines_core.encode_ordinary(pieces), dtype=np.int64)
+        ends = 4 * np.flatnonzero(ranks == self.line_end)
+        ids = self.places[ranks].tobytes()
+        made = [ids[a:b] for a, b in zip([0, *(ends + 4).tolist()], ends.tolist())]
+        following = iter(made)
+        return [apart[w] if w in apart else next(following) for w in words] if apart else made
+
     def spaced(self, text: str) -> bytes:
         """Ids of a text without special tokens, by words.
 
@@ -228,6 +278,32 @@ class Vocabulary:
             at = found.end()
         return b"".join([*out, self.spaced(text[at:])])
 
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """``encode`` of many texts; where words have ends, runs of texts look up their words together."""
+        if not self.end:
+            return [self.encode(t) for t in texts]
+        marked = [bool(self.specials.search(t)) for t in texts]
+        plain = self._all_spaced(t for t, m in zip(texts, marked) if not m)
+        return [self.encode(t) if m else next(plain) for t, m in zip(texts, marked)]
+
+    def _all_spaced(self, texts: Iterable[str]) -> Iterator[bytes]:
+        found: list[bytes] = []
+        ends = [0]
+
+        def run() -> Iterator[bytes]:
+            ids: list[bytes] = []
+            for at in range(0, len(found), RUN):
+                ids += self.words.each(found[at : at + RUN], self.lower_words)
+            return (b"".join(ids[a:b]) for a, b in zip(ends, ends[1:]))
+
+        for text in texts:
+            found += text.encode().split()
+            ends.append(len(found))
+            if len(found) >= RUN:
+                yield from run()
+                found, ends = [], [0]
+        yield from run()
+
     def decode(self, ids: bytes) -> str:
         """The text of ids, special tokens included; bytes that are no UTF-8 become U+FFFD."""
         return b"".join(map(self.token.__getitem__, np.frombuffer(ids, dtype="<u4").tolist())).decode("utf-8", "replace")

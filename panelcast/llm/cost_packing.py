@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.llm.bpe import vocabulary
-from panelcast.llm.common import bounded_batches, text_or_empty
+from panelcast.llm.common import bounded_batches, strings, text_or_empty
 
 LENGTH = 4096
 #: Tokens at which the quadratic part of the cost equals the linear one: six times a model width of 4096.
@@ -104,7 +104,7 @@ def pack(
     end = np.uint32(end_id).tobytes()
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = vocabulary(tokenizer).encode
+        encode_all = vocabulary(tokenizer).encode_all
         following = TaskContext.get().partitionId() << 40
         names, coded, held = [], [], 0
 
@@ -129,11 +129,10 @@ def pack(
         name_type = None
         for batch in batches:
             name_type = batch.column(0).type
-            for name, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = encode(value or "") + end
+            for name, ids in zip(batch.column(0).to_pylist(), encode_all(strings(batch.column(1)))):
                 names.append(name)
-                coded.append(ids)
-                held += len(ids) // 4
+                coded.append(ids + end)
+                held += len(coded[-1]) // 4
                 if held >= block_tokens:
                     yield block()
                     names, coded, held = [], [], 0

@@ -56,6 +56,38 @@ def test_forgetting_changes_nothing():
         own.words = kept
 
 
+@pytest.mark.parametrize("path", [BYTE_TOKENIZER, WORD_TOKENIZER])
+def test_ids_of_texts_together(path, monkeypatch):
+    """Also with runs that end inside of texts, a memory that forgets, and words that are met again."""
+    library, own, draw = Tokenizer.from_file(path), bpe.vocabulary(path), random.Random(6)
+    monkeypatch.setattr(bpe, "RUN", 20)
+    monkeypatch.setattr(own, "words", bpe.Memory(own.words.make, size=50))
+    texts = ["".join(draw.choices(PARTS, k=draw.randint(0, 14))) for _ in range(3000)]
+    texts += [f"{chr(c)} a{chr(c)}b {chr(c)}, x{chr(c)}{chr(c)}." for c in range(0x260)]
+    texts += [t or "" for t in ODD_TEXTS.values()] + ["w" * n + " é" * n for n in range(45, 52)]
+    for text, ids in zip([*texts, *texts], own.encode_all([*texts, *texts]), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
+    assert own.encode_all([]) == []
+
+
+def test_lines_are_split_like_words():
+    plain = [chr(c) for c in range(0x180) if c != 0x130]
+    assert not any(bpe.BEYOND_LINES.search(c.encode()) for c in plain)
+    for a in plain:
+        for b in plain:
+            text = (a + b).lower()
+            assert [p for p in bpe.LINES_SPLIT.findall(text) if p != "\n"] == bpe.WORD_SPLIT.findall(text)
+
+
+def test_new_words_are_merged_in_one_call(monkeypatch):
+    own, alone = bpe.vocabulary(WORD_TOKENIZER), []
+    monkeypatch.setattr(own, "words", bpe.Memory(own.lower_word))
+    monkeypatch.setattr(own, "lower_word", lambda word: alone.append(word) or own.plain(word.decode()))
+    texts = [f"Unmet{n}, überall{n}. naïve### x{n}y" for n in range(500)]
+    own.encode_all([*texts, "世界"])
+    assert alone == ["世界".encode()]
+
+
 def test_round_trip_of_odd_texts(odd, nothing):
     coded = bpe.decode(bpe.encode(odd, BYTE_TOKENIZER), BYTE_TOKENIZER)
     assert set(coded.columns) == {*odd.columns, "decoded"}
